@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratavox.shipping import ship
+
 #: The six characters that separate words everywhere here: space, tab, \n, \v, \f, \r.
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 #: Python workers handle this many bytes of text at a time, whatever the Arrow batch holds.
@@ -21,6 +23,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def id_text(docs: DataFrame, binary: bool = False) -> DataFrame:
     """doc_id and whole text alone, so that no other column can clash; a null text is empty."""
+    ship(docs.sparkSession)
     text = F.coalesce(docs["text"], F.lit(""))
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), (text.cast("binary") if binary else text).alias("text"))
 

@@ -10,6 +10,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyspark
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,8 @@ from .common import TwoGenerations, id_text, settle, slices
 #: Words whose ids a worker keeps, in each of two generations.
 CACHED = 300_000
 #: str.split() takes these for white space too; the tokenizer does not.
+#: The tokenizer's pieces of a lower-cased word.
+PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 NOT_SPACE = re.compile(r"[\x1c-\x1f]")
 SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
@@ -30,11 +33,29 @@ class WordCodec:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache = TwoGenerations(CACHED)
+        self.cache, self.pieces = TwoGenerations(CACHED), TwoGenerations(CACHED // 2)
+        self.final = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.final[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
     def _encode(self, words: list[str]) -> list[bytes]:
+        """The tokenizer's own pieces of Latin words are encoded once each; other words, one by one."""
+        parts = [PIECE.findall(w.lower()) if w.isascii() or max(w) < "\u0250" else None for w in words]
+        known = self.pieces.get_all({p for own in parts if own for p in own}, self._encode_pieces)
+        others = iter(self._encode_each([w for w, own in zip(words, parts, strict=True) if own is None]))
+        return [next(others) if own is None else known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own]) for own in parts]
+
+    def _encode_each(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
+    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """All pieces as one text; each ends at a token with the end-of-word mark."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (4 * (np.flatnonzero(self.final[ids]) + 1)).tolist()
+        if len(ends) != len(pieces):
+            return self._encode_each(pieces)
+        data = ids.tobytes()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         split = [[w for w in SPACE.split(t) if w] if NOT_SPACE.search(t) else t.split() for t in texts]
         known = self.cache.get_all({w for words in split for w in words}, self._encode)
