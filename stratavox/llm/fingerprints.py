@@ -28,12 +28,12 @@ def sketch_of(hashes: str, fraction: float = FRACTION) -> Column:
     stands for the text, so that only a text without words has an empty sketch."""
     below = F.filter(hashes, lambda h: (h >= 0) & (h < F.lit(int(fraction * 2**64))))
     lowest = F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(-(2**63)))))
-    return F.when(F.size(below) > 0, F.array_sort(F.array_distinct(below))).when(F.size(hashes) > 0, F.array(lowest.bitwiseXOR(F.lit(-(2**63))))).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(below) > 0, F.sort_array(F.array_distinct(below))).when(F.size(hashes) > 0, F.array(lowest.bitwiseXOR(F.lit(-(2**63))))).otherwise(F.array().cast("array<bigint>"))
 
 
 def merged(a: Column, b: Column) -> Column:
     """The sketch of two texts together, but for shingles across their border."""
-    return F.array_sort(F.array_union(a, b))
+    return F.sort_array(F.array_union(a, b))
 
 
 def likeness(a: str, b: str) -> Column:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, lines, packing, quality, simhash
+from . import bpe, fingerprints, lines, packing, quality, simhash, suffixes
 from .common import read
 
 
@@ -22,6 +22,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffixes.drop_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     kept = lines.drop_common_lines(docs, least_docs=10, least_chars=1)
@@ -37,7 +42,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_best_fit_packing, op3_fingerprints, op5_line_dedup, op6_simhash, op7_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_best_fit_packing, op3_fingerprints, op4_suffix_dedup, op5_line_dedup, op6_simhash, op7_quality_rules)}
 
 LINES_SQL = r"""
 WITH line AS (
