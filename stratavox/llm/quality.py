@@ -34,16 +34,23 @@ RULES = (
 POLICIES = {"base-1": 0b0000011, "strict-1": 0b1111111}
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """doc_id and MEASURES (long) of every whole text, in one narrow pass.
+def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id and MEASURES (long) of every whole text, in one narrow pass; with carry, the whole row
+    too, as struct `row`.
 
     Words are separated by the six characters of WORD_GAP. A null or empty text measures 0
     throughout; null doc_ids and repeated rows are measured each; other columns are ignored.
     """
     has_word = "[^\\x20\\x09-\\x0D]"
     n = F.size("words")
-    at = id_text(docs).select(
+    row = [F.col("row")] if carry else []
+    texts = id_text(docs)
+    if carry:
+        texts = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
+        texts = texts.select(F.col("row.doc_id").cast("long").alias("doc_id"), F.coalesce("row.text", F.lit("")).alias("text"), "row")
+    at = texts.select(
         "doc_id",
+        *row,
         F.array_remove(F.split("text", WORD_GAP), "").alias("words"),
         F.filter(F.split("text", "\n"), lambda x: x.rlike(has_word)).alias("lines"),
         F.length("text").alias("n_chars"),
@@ -57,6 +64,7 @@ def measure(docs: DataFrame) -> DataFrame:
     covered = F.transform("again", lambda p, i: F.when(i == 0, F.lit(3)).otherwise(F.least(F.lit(3), p - F.get("again", i - 1))))
     return at.select(
         "doc_id",
+        *row,
         n.cast("long").alias("n_words"),
         (F.col("n_chars") - F.col("n_gaps")).cast("long").alias("word_chars"),
         "n_symbols",
@@ -68,13 +76,13 @@ def measure(docs: DataFrame) -> DataFrame:
     )
 
 
-def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES, carry: bool = False) -> DataFrame:
     """measure()'s rows and `failed`: a long whose bit b is set where the rule of bit b fails."""
     bits = [F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(0).cast("long") for r in rules]
     failed: Column = bits[0]
     for b in bits[1:]:
         failed = failed.bitwiseOR(b)
-    return measure(docs).withColumn("failed", failed)
+    return measure(docs, carry).withColumn("failed", failed)
 
 
 def apply_policy(book: DataFrame, policy: str) -> DataFrame:
@@ -98,3 +106,8 @@ def verdicts(docs: DataFrame, policy: str = "strict-1", base: str = "base-1") ->
     """doc_id, the measurements, failed, base_failed and kept."""
     book = apply_policy(ledger(docs), policy)
     return book.withColumn("base_failed", F.col("failed").bitwiseAND(F.lit(POLICIES[base])) != 0)
+
+
+def keep(docs: DataFrame, policy: str = "strict-1") -> DataFrame:
+    """The rows of docs, all columns, that no rule of the policy rejects; no shuffle."""
+    return apply_policy(ledger(docs, carry=True), policy).filter("kept").select("row.*")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, lines, packing, quality, simhash, suffixes
+from . import bpe, chat, fingerprints, licenses, lines, packing, quality, simhash, suffixes, toxicity
 from .common import read
 
 
@@ -42,7 +42,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_best_fit_packing, op3_fingerprints, op4_suffix_dedup, op5_line_dedup, op6_simhash, op7_quality_rules)}
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(read(spark, sf_dir, "conversations"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_best_fit_packing, op3_fingerprints, op4_suffix_dedup, op5_line_dedup, op6_simhash, op7_quality_rules, op8_license_scan, op9_chat_format, op10_toxicity)}
 
 LINES_SQL = r"""
 WITH line AS (

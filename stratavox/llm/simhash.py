@@ -231,3 +231,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, similar: b
     classes = components(found)
     kinds = kinds.join(classes, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
     return prints.join(kinds, names, "left").select("doc_id", "f0", "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 5, similar: bool = True, radius: int = 2) -> DataFrame:
+    """The rows of docs, all columns, with one document (the least doc_id) of each class of
+    near_duplicates(). Of repeated rows of a doc_id one stays; rows without a doc_id all stay."""
+    found = near_duplicates(docs, words, radius, similar).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    kept = docs.join(found, docs["doc_id"] == found["_kept_id"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter(docs["doc_id"].isNull()))

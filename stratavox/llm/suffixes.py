@@ -322,3 +322,17 @@ def drop_repeats(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
     schema = "".join(f"`{c}` {t}, " for c, t in docs.dtypes if c in columns)
     return at.mapInArrow(run, schema + "kept binary, n_bytes long, n_removed long, n_spans long")
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """docs, same columns, with texts rid of repeats; a character that was cut in part goes whole."""
+
+    def decode(batches):
+        for batch in batches:
+            text = pa.array([x.as_py().decode("utf-8", "ignore") for x in batch.column("kept")], pa.string())
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], text], names=[*others, "text"])
+
+    kept = drop_repeats(docs)
+    others = [c for c in kept.columns if c not in ("kept", "n_bytes", "n_removed", "n_spans")]
+    schema = "".join(f"`{c}` {t}, " for c, t in docs.dtypes if c in others)
+    return kept.select(*[f"`{c}`" for c in others], "kept").mapInArrow(decode, schema + "text string").select(*[f"`{c}`" for c in docs.columns])
