@@ -36,7 +36,8 @@ POLICIES = {"base-1": 0b0000011, "strict-1": 0b1111111}
 
 def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
     """doc_id and MEASURES (long) of every whole text, in one narrow pass; with carry, the whole row
-    too, as struct `row`.
+    too, as struct `row`, and `fence`, a number that the optimizer cannot push a filter past: pushed
+    into the measurements, a filter would repeat them all for each use.
 
     Words are separated by the six characters of WORD_GAP. A null or empty text measures 0
     throughout; null doc_ids and repeated rows are measured each; other columns are ignored.
@@ -44,6 +45,7 @@ def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
     has_word = "[^\\x20\\x09-\\x0D]"
     n = F.size("words")
     row = [F.col("row")] if carry else []
+    fence = [F.monotonically_increasing_id().alias("fence")] if carry else []
     texts = id_text(docs)
     if carry:
         texts = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"))
@@ -73,6 +75,7 @@ def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
         F.size("lines").cast("long").alias("n_lines"),
         "n_upper",
         "n_digits",
+        *fence,
     )
 
 
@@ -110,4 +113,4 @@ def verdicts(docs: DataFrame, policy: str = "strict-1", base: str = "base-1") ->
 
 def keep(docs: DataFrame, policy: str = "strict-1") -> DataFrame:
     """The rows of docs, all columns, that no rule of the policy rejects; no shuffle."""
-    return apply_policy(ledger(docs, carry=True), policy).filter("kept").select("row.*")
+    return apply_policy(ledger(docs, carry=True), policy).filter("kept and fence >= 0").select("row.*")
