@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,12 @@ def _r(c: Column | str, n: int = 6) -> Column:
     return F.round(c, n) + F.lit(0.0)
 
 
+def _folder(spark: SparkSession) -> str:
+    """A new folder: in the cluster's shared folder if it names one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared}/stratavox-{uuid.uuid4().hex}" if shared else f"file://{tempfile.mkdtemp(prefix='stratavox-')}"
+
+
 def _q(sql: str = ""):
     def add(f):
         QUERIES[f.__name__] = f
@@ -499,7 +506,7 @@ def skew_edges(spark, sf):
 
 _NAMES = r"""nm AS (SELECT 'd' || (event_id % 5) AS dir, event_id, printf('scan_Iter_%04d_Cam%s_ch%d_CAM1_stack%04d_%dnm_%07dmsec_%010dmsecAbs_%03dx_%03dy_%03dz_%04dt.tif',
   event_id % 3, CASE WHEN event_id % 2 = 0 THEN 'A' ELSE 'B' END, event_id % 3, event_id // 6, [405, 488, 560, 642][length(event_type) % 4 + 1],
-  (epoch_ms(ts) % 10000000000) % 10000000, epoch_ms(ts) % 10000000000, user_id % 3, user_id % 2, 0, event_id % 10) AS name FROM events),
+  ((epoch_us(ts) // 1000) % 10000000000) % 10000000, (epoch_us(ts) // 1000) % 10000000000, user_id % 3, user_id % 2, 0, event_id % 10) AS name FROM events),
 p AS (SELECT dir, event_id, name, regexp_extract(name, '^([^_]*)_', 1) AS dataset, regexp_extract(name, 'Iter_(\d+)', 1)::INT AS iter, regexp_extract(name, '_Cam([A-Z])', 1) AS camera,
   regexp_extract(name, '_ch(\d+)', 1)::INT AS channel, regexp_extract(name, '_CAM(\d+)', 1)::INT AS cam_number, regexp_extract(name, '_stack(\d+)', 1)::INT AS stack,
   regexp_extract(name, '_(\d+)nm', 1)::INT AS wavelength_nm, regexp_extract(name, '_(\d+)msec_', 1)::BIGINT AS delta_ms, regexp_extract(name, '_(\d+)msecAbs', 1)::BIGINT AS abs_ms,
@@ -719,19 +726,19 @@ def pipeline_decon_first(spark, sf):
 
 @_q(_columns("v", "image_id < 4"))
 def tiff_roundtrip(spark, sf):
-    folder = tempfile.mkdtemp(prefix="stratavox-")
-    tiff.write_stacks(fixtures.planes(spark, sf).filter("image_id < 4"), f"file://{folder}")
-    at = tiff.read_stacks(spark, f"file://{folder}")
+    folder = _folder(spark)
+    tiff.write_stacks(fixtures.planes(spark, sf).filter("image_id < 4"), folder)
+    at = tiff.read_stacks(spark, folder)
     planes = at.select(F.regexp_extract("name", r"image_(\d+)", 1).cast("long").alias("image_id"), F.col("page").alias("z"), "height", "width", "px")
     return _vox(planes)
 
 
 @_q("SELECT 4::BIGINT AS n_files, 100::BIGINT AS n_pages, 0::BIGINT AS n_again")
 def stream_available_now(spark, sf):
-    folder, state = (tempfile.mkdtemp(prefix="stratavox-") for _ in range(2))
-    tiff.write_stacks(fixtures.planes(spark, sf).filter("image_id < 4"), f"file://{folder}")
+    folder, state = _folder(spark), _folder(spark)
+    tiff.write_stacks(fixtures.planes(spark, sf).filter("image_id < 4"), folder)
     seen: list[list[tuple[int, int]]] = [[], []]
     for turn in seen:
-        incremental.stream_files(spark, f"file://{folder}", f"file://{state}", lambda df, _, turn=turn: turn.append((df.count(), sum(len(tiff.decode(bytes(r["content"]))) for r in df.toLocalIterator()))))
+        incremental.stream_files(spark, folder, state, lambda df, _, turn=turn: turn.append((df.count(), sum(len(tiff.decode(bytes(r["content"]))) for r in df.toLocalIterator()))))
     return spark.createDataFrame([(sum(a for a, _ in seen[0]), sum(b for _, b in seen[0]), sum(a for a, _ in seen[1]))], "n_files long, n_pages long, n_again long")
 

@@ -40,7 +40,7 @@ def upsert(old: DataFrame, new: DataFrame, key: str = "dir") -> DataFrame:
 def stream_files(spark: SparkSession, folder: str, checkpoint: str, process: Callable[[DataFrame, int], None], glob: str = "*.tif*"):
     """Process the files that have arrived since the last call, once each, and stop. The checkpoint
     is the log of what was done; a batch counts as done only after process() returns."""
-    files = spark.readStream.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
+    files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(folder)
     query = files.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
