@@ -7,7 +7,6 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import StorageLevel  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -162,7 +161,7 @@ class LineIndex:
         return {r["shard"]: bytes(r["table"]) for r in self.filters.collect()} if held <= FILTER_BYTES else None
 
     def common_lines(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, keys): the common line keys (32 hex digits... as 16 bytes) of documents that have any."""
+        """(doc_id, keys): the common line keys of documents that have any."""
         tables, shards, least = self._small_filters(), self.shards, self.least_chars
 
         def probe(batches):
@@ -190,26 +189,24 @@ class LineIndex:
 
 
 def _without(docs: DataFrame, common: DataFrame, least_chars: int) -> DataFrame:
-    text, doc_id, keys = "_line_text", "_line_doc", "_line_keys"
-    joined = docs.join(common.select(F.col("doc_id").alias(doc_id), F.col("keys").alias(keys)), docs["doc_id"].eqNullSafe(F.col(doc_id)), "left").drop(doc_id)
-    counted = [c for c in docs.columns if c.lower() not in ("text", "n_lines", "n_dropped")]
-    at = joined.select(*[joined[f"`{c}`"] for c in counted], F.coalesce("text", F.lit("")).cast("binary").alias(text), keys)
-    schema = ", ".join(f"`{c}` {t}" for c, t in at.dtypes if c in counted)
+    added = ("n_lines", "n_dropped")
+    others = [docs[f"`{c}`"] for c in docs.columns if c.lower() not in ("text", *added)]
+    rows = docs.select(F.struct(*others).alias("carried"), F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text"), docs["doc_id"].cast("long").alias("i"))
+    at = rows.join(common, rows["i"].eqNullSafe(common["doc_id"]), "left").select("carried", "text", "keys")
 
     def drop(batches):
         for batch in batches:
             lines, dropped, kept = [], [], []
-            for raw, common in zip(batch.column(text), batch.column(keys).to_pylist(), strict=True):
+            for raw, keys in zip(batch.column("text"), batch.column("keys").to_pylist(), strict=True):
                 parts = raw.as_py().split(b"\n")
-                gone = {np.array([k["high"], k["low"]], "<i8").tobytes() for k in common or ()}
+                gone = {np.array([k["high"], k["low"]], "<i8").tobytes() for k in keys or ()}
                 stay = parts if not gone else [p for p in parts if not ((k := line_key(p)) and _digest(k) in gone)]
                 lines.append(len(parts))
                 dropped.append(len(parts) - len(stay))
                 kept.append(b"\n".join(stay))
-            columns = [batch.column(c) for c in counted]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.binary()).cast(pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=[*counted, "text", "n_lines", "n_dropped"])
+            yield pa.RecordBatch.from_arrays([batch.column("carried"), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())], names=["carried", "text", *added])
 
-    return at.mapInArrow(drop, f"{schema}, text string, n_lines long, n_dropped long")
+    return at.mapInArrow(drop, f"carried {at.schema['carried'].dataType.simpleString()}, text string, n_lines long, n_dropped long").select("carried.*", "text", *added)
 
 
 def drop_common_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1) -> DataFrame:

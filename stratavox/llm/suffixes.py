@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stratavox.shipping import ship
 
-from .common import id_text, settle
+from .common import settle
 
 #: A repeated string of LENGTH bytes holds a leading q-gram of GRAM bytes: the least, by hash, of
 #: its LENGTH - GRAM + 1 q-grams, the leftmost of equals. Both of its occurrences have the same one.
@@ -142,33 +142,38 @@ def stretches(docs: DataFrame) -> DataFrame:
                 names=["gram", "around", *NAMES, "first", "windows", "lead"],
             )
 
-    return id_text(docs, binary=True).select("text").mapInArrow(run, "gram long, around long, t1 long, t2 long, first int, windows short, lead short")
+    ship(docs.sparkSession)
+    return docs.select(F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text")).mapInArrow(run, "gram long, around long, t1 long, t2 long, first int, windows short, lead short")
 
 
-def _named(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """The rows with their text's name, the text compressed for the shuffle."""
+def _named(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """(t1, t2, packed) of each row: its text's name, and the text compressed for the shuffle; with
+    carry, also `carried`, a struct of the row's other columns."""
+    ship(docs.sparkSession)
+    others = [docs[f"`{c}`"] for c in docs.columns if c.lower() != "text"]
+    carry = carry and bool(others)
+    at = docs.select(*([F.struct(*others).alias("carried")] if carry else []), F.coalesce(docs["text"], F.lit("")).cast("binary").alias("text"))
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             names, packed = [], []
-            for x in batch.column("_text"):
+            for x in batch.column("text"):
                 text = x.as_py()
                 names.append(_name(text))
                 packed.append(pack(text))
             both = np.array(names, np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array(packed, pa.binary())], names=[*columns, "_t1", "_t2", "_packed"])
+            columns = [batch.column("carried")] if carry else []
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array(packed, pa.binary())], names=[*["carried"] * len(columns), *NAMES, "packed"])
 
-    ship(docs.sparkSession)
-    at = docs.select(*[docs[f"`{c}`"] for c in columns], F.coalesce(docs["text"], F.lit("")).cast("binary").alias("_text"))
-    schema = "".join(f"`{c}` {t}, " for c, t in at.dtypes if c != "_text")
-    return at.mapInArrow(run, schema + "_t1 long, _t2 long, _packed binary")
+    schema = f"carried {at.schema['carried'].dataType.simpleString()}, " if carry else ""
+    return at.mapInArrow(run, schema + "t1 long, t2 long, packed binary")
 
 
 def _surroundings(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     """(gram, around, n, lead, bytes) of the wanted stretches, cut from one copy of their text."""
     lists = wanted.groupBy(*NAMES).agg(F.collect_list(F.struct("gram", "around", "n", "first", "windows", "lead", "many")).alias("parts"))
-    texts = _named(docs, []).groupBy(F.col("_t1").alias("t1"), F.col("_t2").alias("t2")).agg(F.first("_packed").alias("packed"))
+    texts = _named(docs).groupBy(*NAMES).agg(F.first("packed").alias("packed"))
     at = lists.join(texts, NAMES).select("parts", "packed")
 
     def run(batches):
@@ -297,16 +302,16 @@ def drop_repeats(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
     nothing is kept; an empty table gives no rows. Columns of the added names are replaced.
     """
     added = ("kept", "n_bytes", "n_removed", "n_spans")
-    columns = [c for c in docs.columns if c.lower() not in (*added, "text")]
-    rows = _named(docs, columns)
-    spans = repeated_spans(docs, bucket).select(F.col("t1").alias("_s1"), F.col("t2").alias("_s2"), F.col("spans").alias("_spans"))
-    at = rows.join(spans, (rows["_t1"] == spans["_s1"]) & (rows["_t2"] == spans["_s2"]), "left").select(*[rows[f"`{c}`"] for c in columns], "_packed", "_spans")
+    rows = docs.select(*[docs[f"`{c}`"] for c in docs.columns if c.lower() not in added])
+    spans = repeated_spans(docs, bucket).select(F.col("t1").alias("s1"), F.col("t2").alias("s2"), "spans")
+    named = _named(rows, carry=True)
+    at = named.join(spans, (named["t1"] == spans["s1"]) & (named["t2"] == spans["s2"]), "left").select("carried", "packed", "spans")
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
-            for packed, spans in zip(batch.column("_packed"), batch.column("_spans").to_pylist(), strict=True):
+            for packed, spans in zip(batch.column("packed"), batch.column("spans").to_pylist(), strict=True):
                 text = unpack(packed.as_py())
                 kept, last, n = [], 0, 0
                 for lo, hi in sorted((s["lo"], s["hi"]) for s in spans or ()):
@@ -318,10 +323,10 @@ def drop_repeats(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
                 kept = b"".join(kept)
                 out.append((kept, len(text), len(text) - len(kept), n))
             kinds = (pa.binary(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], *[pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)]], names=[*columns, *added])
+            yield pa.RecordBatch.from_arrays([batch.column("carried"), *[pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)]], names=["carried", *added])
 
-    schema = "".join(f"`{c}` {t}, " for c, t in docs.dtypes if c in columns)
-    return at.mapInArrow(run, schema + "kept binary, n_bytes long, n_removed long, n_spans long")
+    schema = f"carried {at.schema['carried'].dataType.simpleString()}, "
+    return at.mapInArrow(run, schema + "kept binary, n_bytes long, n_removed long, n_spans long").select("carried.*", *added)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -330,9 +335,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     def decode(batches):
         for batch in batches:
             text = pa.array([x.as_py().decode("utf-8", "ignore") for x in batch.column("kept")], pa.string())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], text], names=[*others, "text"])
-
-    kept = drop_repeats(docs)
-    others = [c for c in kept.columns if c not in ("kept", "n_bytes", "n_removed", "n_spans")]
-    schema = "".join(f"`{c}` {t}, " for c, t in docs.dtypes if c in others)
-    return kept.select(*[f"`{c}`" for c in others], "kept").mapInArrow(decode, schema + "text string").select(*[f"`{c}`" for c in docs.columns])
+            yield pa.RecordBatch.from_arrays([batch.column("carried"), text], names=["carried", "text"])
+
+    # Columns by position, so that none of docs' names can clash with an added one.
+    places = {f"c{k}": c for k, c in enumerate(docs.columns) if c != "text"}
+    kept = drop_repeats(docs.select(*[docs[f"`{c}`"].alias(p) for p, c in places.items()], "text"))
+    at = kept.select(F.struct(*places).alias("carried"), "kept")
+    out = at.mapInArrow(decode, f"carried {at.schema['carried'].dataType.simpleString()}, text string").select("carried.*", "text")
+    return out.select(*[F.col("text") if c == "text" else F.col(f"c{k}").alias(c) for k, c in enumerate(docs.columns)])
