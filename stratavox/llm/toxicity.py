@@ -85,19 +85,20 @@ class LabelModel:
     def fit(cls, votes: np.ndarray, start: np.ndarray, rounds: int = 25) -> LabelModel:
         n, m = votes.shape
         hot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
-        post, weight = start.astype(float), np.ones(m)
+        # Correlations that the classes of the start do not explain, once.
+        given = np.stack([hot[start == c].mean(axis=0) for c in (0, 1)])[start]
+        rest = (hot - given)[:, :, 2] - (hot - given)[:, :, 1]
+        scale = rest.std(axis=0)
+        rest = np.where(scale > 1e-3, rest / np.maximum(scale, 1e-3), 0)
+        corr = np.abs(rest.T @ rest) / n
+        np.fill_diagonal(corr, 0)
+        weight = 1 / (1 + np.where(corr > 0.1, corr, 0).sum(axis=1))
+        post = start.astype(float)
         for _ in range(rounds):
             both = np.stack([1 - post, post], axis=1)
             table = np.einsum("nc,nmv->mcv", both, hot) + 0.5
             table /= table.sum(axis=2, keepdims=True)
-            prior = float(np.clip(post.mean(), 1e-3, 1 - 1e-3))
-            expected = np.einsum("nc,mcv->nmv", both, table)
-            rest = (hot - expected)[:, :, 2] - (hot - expected)[:, :, 1]
-            scale = rest.std(axis=0) + 1e-9
-            corr = np.abs((rest / scale).T @ (rest / scale)) / n
-            np.fill_diagonal(corr, 0)
-            weight = 1 / (1 + np.where(corr > 0.1, corr, 0).sum(axis=1))
-            model = cls(table, weight, prior)
+            model = cls(table, weight, float(np.clip(post.mean(), 1e-3, 1 - 1e-3)))
             new = model.posterior(votes)
             if np.abs(new - post).max() < 1e-4:
                 break
@@ -199,8 +200,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     of = lambda k: np.unique(np.concatenate([every, *[f for f, t in zip(found, toxic, strict=True) if t == k]]), return_counts=True)
     c1, c0 = (c[np.searchsorted(u, every)] - 1 for u, c in (of(1), of(0)))
     odds = np.log((c1 + 0.5) / (n1 + 1)) - np.log((c0 + 0.5) / (n0 + 1))
-    # Association in standard deviations, so that chance finds of rare features rank low.
-    sure = odds / np.sqrt(1 / (c1 + 0.5) + 1 / (c0 + 0.5))
+    # Association as the signed root of the likelihood ratio, so that chance finds of rare features
+    # rank low.
+    part = (c1 + c0) / (n1 + n0)
+    ratio = sum(c * np.log(np.maximum(c, 1) / (n * part)) for c, n in ((c1, n1), (c0, n0)))
+    sure = np.sign(odds) * np.sqrt(2 * np.maximum(ratio, 0))
     ranked = np.flatnonzero((odds > 2.5) & (sure > 4))
     indicators = every[ranked[np.argsort(-sure[ranked], kind="stable")][:INDICATORS]]
     insults = np.array([word_keys(w)[0] * LEVELS for w in INSULTS])
