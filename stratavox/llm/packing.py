@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import TwoGenerations, id_text, settle, slices
 
-#: Words whose ids a worker keeps, in each of two generations.
-CACHED = 300_000
+#: Words, and pieces of words, whose ids a worker keeps, in each of two generations.
+CACHED_WORDS, CACHED_PIECES = 60_000, 100_000
 #: str.split() takes these for white space too; the tokenizer does not.
 #: The tokenizer's pieces of a lower-cased word.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -33,7 +33,7 @@ class WordCodec:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.cache, self.pieces = TwoGenerations(CACHED), TwoGenerations(CACHED // 2)
+        self.cache, self.pieces = TwoGenerations(CACHED_WORDS), TwoGenerations(CACHED_PIECES)
         self.final = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.final[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
 
