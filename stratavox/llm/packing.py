@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, id_text, settle, slices
+from .common import TwoGenerations, id_text, release, settle, slices
 
 #: Words, and pieces of words, whose ids a worker keeps, in each of two generations.
 CACHED_WORDS, CACHED_PIECES = 60_000, 100_000
@@ -163,6 +163,7 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0) -> D
                         k = seen[n] = seen.get(n, -1) + 1
                         rows.append((doc_id, at // (4 * capacity), at // 4, n, zlib.crc32(data), part, k))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()), strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
+        release()
 
     pieces = settle(id_text(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long, part int, nth long"))
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
