@@ -103,4 +103,31 @@ f AS (
 SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM f
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_line_dedup": LINES_SQL, "op7_quality_rules": QUALITY_SQL}
+def _canonical_sql(text: str) -> str:
+    out = f"regexp_replace(lower({text}), '(?m)^[^\\n\\p{{L}}]*(copyright\\b|\\(c\\)|©|all rights reserved)[^\\n]*$', '', 'g')"
+    forms = [p for p in licenses.EQUIVALENT if "(?=" not in p[0]]
+    for pattern, form in forms:
+        out = f"regexp_replace({out}, '{pattern.replace(chr(39), chr(39) * 2)}', '{form}', 'g')"
+    # RE2 has no look-ahead: a version number is matched with its first digits instead.
+    out = f"regexp_replace({out}, '\\bversion ([0-9])', 'v\\1', 'g')"
+    out = f"regexp_replace({out}, '\\bv([0-9]+)\\.0\\b', 'v\\1', 'g')"
+    out = f"regexp_replace({out}, '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+    return f"regexp_replace({out}, ' *\\n[ \\n]*', chr(10), 'g')"
+
+
+def _licenses_sql() -> str:
+    known = ", ".join("('{}', '{}')".format(k, t.replace("'", "''")) for k, t in licenses.KNOWN)
+    return f"""
+WITH given AS (SELECT * FROM (VALUES {known}) AS t(license, text)),
+known AS (SELECT sha256(trim(replace(c, chr(10), ' '))) AS k, min(license) AS license FROM (SELECT license, {_canonical_sql("text")} AS c FROM given) GROUP BY 1),
+doc AS (SELECT doc_id, {_canonical_sql("coalesce(text, '')")} AS c FROM documents),
+whole AS (SELECT doc_id, sha256(trim(replace(c, chr(10), ' '))) AS digest FROM doc),
+line AS (SELECT doc_id, unnest(string_split(c, chr(10))) AS line FROM doc),
+found AS (SELECT doc_id, license FROM line JOIN known ON sha256(trim(line)) = k WHERE trim(line) <> '')
+SELECT w.doc_id, w.digest, any_value(k.license) AS text_license,
+       coalesce(string_agg(DISTINCT f.license, ',' ORDER BY f.license), '') AS line_licenses, count(f.license) AS n_license_lines
+FROM whole w LEFT JOIN known k ON w.digest = k.k LEFT JOIN found f ON w.doc_id = f.doc_id GROUP BY w.doc_id, w.digest
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op5_line_dedup": LINES_SQL, "op7_quality_rules": QUALITY_SQL, "op8_license_scan": _licenses_sql()}
