@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import bz2
 import struct
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -147,9 +148,14 @@ def encoded(planes: DataFrame, dtype: str = "uint16", spacing: tuple[float, floa
 
 
 def write_stacks(planes: DataFrame, folder: str, name: str = "image_%d.tif", overwrite: bool = False, **options) -> DataFrame:
-    """Write a file for each image through Hadoop's file systems, so any store that Spark writes to
-    will do: the files are encoded by the executors and put by the driver, one at a time. An existing
-    file is an error unless overwrite. Returns (image_id, path)."""
+    """Write a file for each image; returns (image_id, path). An existing file is an error unless
+    overwrite. Executors write to stores that Arrow knows (file:// must be a shared mount), each file
+    under a name of its own that is moved into place, so that a task can run twice. Files for other
+    stores are encoded by executors and put by the driver through Hadoop's file systems."""
+    if folder.partition("://")[0] in ("file", "s3", "gs", "abfs", "hdfs"):
+        if not overwrite and (there := _existing(planes, folder, name)):
+            raise FileExistsError(there)
+        return _written(encoded(planes, **options), folder, name)
     spark = planes.sparkSession
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     done = []
@@ -165,6 +171,41 @@ def write_stacks(planes: DataFrame, folder: str, name: str = "image_%d.tif", ove
     return spark.createDataFrame(done, "image_id long, path string")
 
 
+def _existing(planes: DataFrame, folder: str, name: str) -> str | None:
+    """A file that is there already, if any; only image numbers are read for it."""
+
+    def look(batches):
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        for pdf in batches:
+            paths = [f"{base}/{name % i}" for i in pdf["image_id"]]
+            there = store.get_file_info(paths) if paths else []
+            yield pd.DataFrame({"path": [x.path for x in there if x.type != fs.FileType.NotFound]}, dtype=object)
+
+    found = planes.select("image_id").distinct().mapInPandas(look, "path string").head(1)
+    return found[0]["path"] if found else None
+
+
+def _written(files: DataFrame, folder: str, name: str) -> DataFrame:
+    run = uuid.uuid4().hex
+
+    def put(batches):
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        store.create_dir(base, recursive=True)
+        for pdf in batches:
+            for i, content in zip(pdf["image_id"], pdf["content"], strict=True):
+                with store.open_output_stream(f"{base}/.{run}-{name % i}") as f:
+                    f.write(bytes(content))
+                store.move(f"{base}/.{run}-{name % i}", f"{base}/{name % i}")
+            yield pd.DataFrame({"image_id": pdf["image_id"], "path": [f"{folder}/{name % i}" for i in pdf["image_id"]]})
+
+    rows = files.mapInPandas(put, "image_id long, path string").collect()
+    return files.sparkSession.createDataFrame(rows, "image_id long, path string")
+
+
 def acquisitions(spark: SparkSession, root: str, excluded: DataFrame | None = None) -> DataFrame:
     """(dir): directories that hold a *Settings.txt file, without .zarr and .n5 trees and, of those
     in `excluded` (dir), none."""
