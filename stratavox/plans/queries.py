@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratavox.functions import names, settings
+from stratavox.functions import calibration, names, settings
 from stratavox.operators import decon, geometry, pixels
 from stratavox.plans import fixtures, runner
 from stratavox.plans.config import parse_config
@@ -642,6 +642,36 @@ def steps_all_equal(spark, sf):
     return at.agg((F.countDistinct("interval") == 1).alias("all_equal"))
 
 
+# Calibration files
+
+
+def _psfs(spark):
+    return spark.createDataFrame([(488, "/psf/488.tif"), (560, "/psf/560.tif")], "laser int, path string")
+
+
+@_q(f"WITH {_NAMES} SELECT event_id, wavelength_nm, CASE wavelength_nm WHEN 488 THEN '/psf/488.tif' WHEN 560 THEN '/psf/560.tif' END AS calibration FROM p")
+def psf_lookup(spark, sf):
+    return calibration.by_laser(_parsed(spark, sf), _psfs(spark)).select("event_id", "wavelength_nm", "calibration")
+
+
+@_q(f"WITH {_NAMES} SELECT DISTINCT wavelength_nm AS laser FROM p WHERE wavelength_nm NOT IN (488, 560)")
+def psf_missing(spark, sf):
+    return calibration.lasers_without(_parsed(spark, sf), _psfs(spark))
+
+
+@_q("SELECT * FROM (VALUES ('/psf/488.tif', '/psf/488_Settings.txt', false), ('/psf/560_skewed.tif', NULL, true)) AS t(path, settings, skewed)")
+def psf_settings(spark, sf):
+    stacks = spark.createDataFrame([("/psf/488.tif",), ("/psf/560_skewed.tif",)], "path string")
+    found = calibration.with_settings(stacks, spark.createDataFrame([("/psf/488_Settings.txt",), ("/psf/x_Settings.txt",)], "path string"))
+    return found.withColumn("skewed", calibration.is_skewed())
+
+
+@_q("SELECT * FROM (VALUES ('d0', 'scan', 2::BIGINT), ('d1', 'cell_2', 0::BIGINT)) AS t(dir, dataset, n_iters)")
+def settings_datasets(spark, sf):
+    rows = [("d0", "scan_Iter_0000_Settings.txt"), ("d0", "scan_Iter_0001_Settings.txt"), ("d1", "cell_2_Settings.txt")]
+    return calibration.datasets(spark.createDataFrame(rows, "dir string, name string"))
+
+
 # Incremental work
 
 
