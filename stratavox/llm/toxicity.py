@@ -159,7 +159,7 @@ def _features(docs: DataFrame, sample: DataFrame) -> list:
 def _presence(rows: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
     """Which of the columns each row has."""
     out = np.zeros((len(rows), len(columns)), bool)
-    for i, r in enumerate(rows):
+    for i, r in enumerate(rows if len(columns) else ()):
         at = np.searchsorted(columns, r)
         at[at == len(columns)] = 0
         out[i, at[columns[at] == r]] = True
@@ -187,12 +187,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     Voters: everyday insults (two), indicators mined from the labelled rows (words and beginnings of
     words, dealt to VOTERS voters), the lack of any, three patterns of spelling, and the labels
     themselves. The label model weighs them; the classifier is fitted to its posteriors. Without
-    labelled rows of both classes, the insults alone decide.
+    labelled rows of both classes, or if no feature tells them apart, the insults alone decide.
     """
     rows = _features(docs, _sample(labels))
     toxic = np.array([r["toxic"] for r in rows], int)
+    insults_alone = Model({word_keys(w)[0] * LEVELS: 5.0 for w in INSULTS}, -3.0)
     if not 0 < toxic.sum() < len(toxic):
-        return Model({word_keys(w)[0] * LEVELS: 5.0 for w in INSULTS}, -3.0)
+        return insults_alone
     found = [np.frombuffer(r["features"], "<u4").astype(np.int64) for r in rows]
     n1, n0 = int(toxic.sum()), int((toxic == 0).sum())
     every, counts = np.unique(np.concatenate(found), return_counts=True)
@@ -220,6 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     target = label_model.posterior(table)
     usable = np.flatnonzero(np.abs(sure) > 3)
     columns = np.sort(every[usable[np.argsort(-np.abs(sure[usable]), kind="stable")][:WEIGHTED]])
+    if not len(columns):
+        return insults_alone
     w, b = _logistic(_presence(found, columns), target)
     return Model({int(c): float(x) for c, x in zip(columns, w, strict=True) if abs(x) > 1e-3}, b, label_model)
 
