@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stratavox.shipping import ship
 
-from .common import settle
+from .common import release, settle
 
 #: A repeated string of LENGTH bytes holds a leading q-gram of GRAM bytes: the least, by hash, of
 #: its LENGTH - GRAM + 1 q-grams, the leftmost of equals. Both of its occurrences have the same one.
@@ -112,6 +112,14 @@ def _name(text: bytes) -> tuple[int, int]:
 NAMES = ["t1", "t2"]
 
 
+def _parts(batches, rows: int = 512):
+    """Slices of the Arrow batches, so that a worker holds the results of a few rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    release()
+
+
 def _each_text(batches, most: int = 1 << 20):
     for batch in batches:
         texts, size = [], 0
@@ -156,7 +164,7 @@ def _named(docs: DataFrame, carry: bool = False) -> DataFrame:
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
+        for batch in _parts(batches):
             names, packed = [], []
             for x in batch.column("text"):
                 text = x.as_py()
@@ -178,7 +186,7 @@ def _surroundings(wanted: DataFrame, docs: DataFrame) -> DataFrame:
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        for batch in _parts(batches):
             rows = []
             for parts, packed in zip(batch.column("parts"), batch.column("packed"), strict=True):
                 text = unpack(packed.as_py())
@@ -309,7 +317,7 @@ def drop_repeats(docs: DataFrame, bucket: int = BUCKET) -> DataFrame:
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        for batch in _parts(batches):
             out = []
             for packed, spans in zip(batch.column("packed"), batch.column("spans").to_pylist(), strict=True):
                 text = unpack(packed.as_py())
