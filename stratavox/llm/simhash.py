@@ -20,6 +20,10 @@ TILE = 8192
 CELLS = 1 << 19
 #: Shingles whose bits are counted at a time.
 VOTES = 1 << 15
+#: Shingle sets that one side of an exact comparison holds, about.
+SETS = 512
+#: Similarity from which texts are near copies, as a fraction of integers.
+ALIKE = (4, 5)
 #: Bits that two texts of similarity 0.8 differ by, of 64 and of 256, with room for chance: their
 #: shingles' angle is acos(2 * 0.8 / 1.8), or 0.151 of all bits.
 NARROW, WIDE = 17, 44
@@ -61,6 +65,39 @@ def majority(hashes: np.ndarray, copies: int) -> list[np.ndarray]:
     return out
 
 
+def _signed(x: int) -> int:
+    return x - 2**64 if x >= 2**63 else x
+
+
+def distinct_hashes(text: bytes, words: int) -> np.ndarray:
+    """The different shingle hashes of a text, in order."""
+    return np.unique(np.array(shingle_hashes(text, words), np.uint64))
+
+
+def text_mark(text: Column) -> Column:
+    """XXH64 (seed 42) of a text, as a signed long; with its doc_id it names a text."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def set_prints(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, mark (text_mark), f0 to f3 (majority of the different shingles, each with one vote)
+    and d0, d1 (XXH3 of the set of shingles), as signed longs, of every whole text."""
+    names = ["mark", "f0", "f1", "f2", "f3", "d0", "d1"]
+
+    def run(batches):
+        for batch in batches:
+            for doc_ids, texts in slices(batch):
+                rows = []
+                for t in texts:
+                    found = distinct_hashes(t, words)
+                    d = xxhash.xxh3_128_intdigest(found.astype("<u8").tobytes())
+                    rows.append([_signed(int(x)) for x in (xxhash.xxh64_intdigest(t, SEED), *majority(found, 4), d >> 64, d & (2**64 - 1))])
+                columns = np.array(rows, np.int64).reshape(-1, len(names)).T
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), *[pa.array(np.ascontiguousarray(c)) for c in columns]], names=["doc_id", *names])
+
+    return id_text(docs, binary=True).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+
+
 def fingerprints(docs: DataFrame, words: int = 3, copies: int = 1) -> DataFrame:
     """doc_id, f0 ... as signed longs, of every whole text; a text without words has zeros."""
     names = [f"f{k}" for k in range(copies)]
@@ -214,23 +251,108 @@ def links(prints: DataFrame, radius: int, wide: int | None = None, bits: int = 6
     return dealt.mapInArrow(run, "u long, v long")
 
 
+def similar_pairs(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links that join all sets (different values each) that a chain of similarities of 0.8 or more joins."""
+    n, size = len(sets), np.array([len(x) for x in sets], np.int64)
+    if n == 2:
+        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+        return [(0, 1)] if ALIKE[1] * both >= ALIKE[0] * (size.sum() - both) else []
+    owner = np.repeat(np.arange(n), size)
+    values, at = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    holders, ends = owner[order], np.cumsum(np.bincount(at, minlength=len(values)))
+    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+    firsts = np.concatenate([[0], np.cumsum(size)])
+    forest, found, met = _Forest(n), [], np.zeros(n, bool)
+    while True:
+        # A link between two groups has an end outside the largest: only those sets need to meet all.
+        left = np.flatnonzero(~met & (forest.root != np.bincount(forest.root).argmax()))
+        if not len(left):
+            return found
+        i = int(left[0])
+        met[i] = True
+        mine = at[firsts[i] : firsts[i + 1]]
+        both = np.zeros(n, np.int64)
+        if len(mine):
+            both = np.bincount(np.concatenate([holders[starts[k] : ends[k]] for k in mine.tolist()]), minlength=n)
+        j = np.flatnonzero(ALIKE[1] * both >= ALIKE[0] * (size[i] + size - both))
+        j = j[j != i]
+        found += forest.add(np.full(len(j), i), j)
+
+
+def exact_links(docs: DataFrame, kinds: DataFrame, groups: DataFrame, words: int, tile: int = SETS) -> DataFrame:
+    """(u, v) links by the exact similarity of shingle sets, 0.8 or more, that connect all nodes of a
+    group which such links connect at all.
+
+    kinds: node, f0 and first (doc_id and mark of one of its texts); groups: node, component, within
+    which links are looked for. Groups over `tile` nodes are cut, and all their tiles meet.
+    """
+    light = settle(kinds.join(groups, "node").select("component", "node", "f0", F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark")))
+    whole = id_text(docs).withColumn("_own", text_mark(F.col("text")))
+    texts = whole.join(light, (whole["doc_id"] == light["_id"]) & (whole["_own"] == light["_mark"])).dropDuplicates(["_id", "_mark", "node"])
+
+    def shingled(batches):
+        for batch in batches:
+            for nodes, found in slices(batch):
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([distinct_hashes(t, words).tobytes() for t in found], pa.binary())], names=["node", "hashes"])
+
+    sets = texts.select(F.col("node").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(shingled, "node long, hashes binary")
+    dealt = _tiles(light.select("component", "node", "f0"), ["component"], F.bit_count("f0"), NARROW, tile).select("node", "pair")
+    dealt = dealt.join(sets, "node").repartition("pair").sortWithinPartitions("pair")
+
+    def run(batches):
+        pair, nodes, held = None, [], []
+
+        def compare() -> pa.RecordBatch:
+            found = similar_pairs(held) if len(held) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([nodes[x[k]] for x in found], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+        for batch in batches:
+            for p, node, hashes in zip(*(batch.column(c) for c in ("pair", "node", "hashes")), strict=True):
+                if p.as_py() != pair:
+                    if len(held) > 1:
+                        yield compare()
+                    pair, nodes, held = p.as_py(), [], []
+                nodes.append(node.as_py())
+                held.append(np.frombuffer(hashes.as_py(), np.uint64))
+        yield compare()
+
+    return dealt.mapInArrow(run, "u long, v long")
+
+
+def similar_classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, kinds): set_prints() of every row, and of each different set of shingles f0 ... d1, the
+    first (doc_id, mark) and its class. SimHash only proposes; exact_links() decides."""
+    names = [f"f{k}" for k in range(4)]
+    prints = settle(set_prints(docs, words))
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))
+    kinds = prints.groupBy(*names, "d0", "d1").agg(F.min(named).alias("first")).filter("first is not null")
+    kinds = settle(kinds.withColumn("node", F.monotonically_increasing_id()))
+    proposed = components(links(kinds.select("node", *names), NARROW, WIDE))
+    classes = components(exact_links(docs, kinds, proposed, words))
+    return prints, kinds.join(classes, "node", "left").select(*names, "d0", "d1", "first", F.coalesce("component", "node").alias("class"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, similar: bool = False) -> DataFrame:
     """doc_id, f0 and component_id (the smallest doc_id reachable by links) of every document.
 
     similar=False: fingerprints link at `radius` differing bits or fewer. similar=True: texts link
-    at an estimated similarity of 0.8 of their shingles: within NARROW of 64 bits, and then within
-    WIDE of 256. A null or empty text has fingerprint zero and links like any other. Documents of
-    equal fingerprints are compared once. A null doc_id names no class: such a row gets the class of
+    at a similarity of 0.8 or more of their sets of shingles, compared exactly where the fingerprints
+    (one vote for each different shingle) are within NARROW of 64 bits and WIDE of 256. A null or
+    empty text has fingerprint zero and links like any other. Documents of equal fingerprints (equal
+    sets, if similar) are compared once. A null doc_id names no class: such a row gets the class of
     its fingerprint, null if no other row has it. Repeated rows stay; an empty table gives none.
     """
-    copies = 4 if similar else 1
-    names = [f"f{k}" for k in range(copies)]
-    prints = settle(fingerprints(docs, words, copies))
-    kinds = settle(prints.groupBy(*names).agg(F.min("doc_id").alias("node")).filter("node is not null"))
-    found = links(kinds, NARROW, WIDE) if similar else links(kinds, radius)
-    classes = components(found)
-    kinds = kinds.join(classes, "node", "left").select(*names, F.coalesce("component", "node").alias("component_id"))
-    return prints.join(kinds, names, "left").select("doc_id", "f0", "component_id")
+    if similar:
+        prints, kinds = similar_classes(docs, words)
+        least = kinds.groupBy("class").agg(F.min("first.doc_id").alias("component_id"))
+        key = ["f0", "f1", "f2", "f3", "d0", "d1"]
+        return prints.join(kinds.join(least, "class").select(*key, "component_id"), key, "left").select("doc_id", "f0", "component_id")
+    prints = settle(fingerprints(docs, words))
+    kinds = settle(prints.groupBy("f0").agg(F.min("doc_id").alias("node")).filter("node is not null"))
+    classes = components(links(kinds, radius))
+    kinds = kinds.join(classes, "node", "left").select("f0", F.coalesce("component", "node").alias("component_id"))
+    return prints.join(kinds, ["f0"], "left").select("doc_id", "f0", "component_id")
 
 
 def one_of_each(docs: DataFrame, words: int = 5, similar: bool = True, radius: int = 2) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -75,3 +76,63 @@ def test_stages(spark, folder, tmp_path):
 def test_run(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 0
+
+
+def kept_ids(spark, rows) -> list:
+    from stratavox.llm import simhash
+
+    return sorted(r["doc_id"] for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), words=5, similar=True).collect())
+
+
+def test_a_repeated_phrase_makes_no_copies(spark):
+    rows = []
+    for k in range(20):
+        phrase = words(10, 3000 + k)
+        rows += [(2 * k + i, " ".join([phrase] * 10) + " " + words(120, 4000 + 2 * k + i)) for i in (0, 1)]
+    assert kept_ids(spark, rows) == list(range(40))
+
+
+def test_links_are_exact(spark):
+    from stratavox.llm import simhash
+
+    r = random.Random(3)
+    sets = []
+    for _ in range(12):
+        base = r.sample(range(10_000), 40)
+        for _ in range(r.randint(1, 9)):
+            base = sorted(set(r.sample(base, len(base) - r.randint(0, 5))) | set(r.sample(range(10_000), r.randint(0, 5))))
+            sets.append(tuple(base))
+    sets = list(dict.fromkeys(sets))
+
+    def classes(pairs):
+        at = list(range(len(sets)))
+        for i, j in pairs:
+            at = [at[i] if x == at[j] else x for x in at]
+        return {frozenset(k for k, x in enumerate(at) if x == a) for a in at}
+
+    near = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if 5 * len(set(a) & set(b)) >= 4 * len(set(a) | set(b))]
+    assert near and classes(simhash.similar_pairs([np.array(x, np.uint64) for x in sets])) == classes(near)
+
+
+def test_exact_links_in_tiles(spark):
+    from pyspark.sql import functions as F
+
+    from stratavox.llm import simhash
+
+    base = words(300, 77).split()
+    texts = [" ".join(base)]
+    for k in range(40):  # a chain: each text differs from the one before in one place
+        base[7 * k + 3] = f"new{k}"
+        texts.append(" ".join(base))
+    texts += [words(300, 900 + k) for k in range(5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kinds = docs.select(F.col("doc_id").alias("node"), F.xxhash64("text", F.lit(1)).alias("f0"), F.struct("doc_id", simhash.text_mark(F.col("text")).alias("mark")).alias("first"))
+    groups = docs.select(F.col("doc_id").alias("node"), F.lit(0).cast("long").alias("component"))
+    for tile in (6, simhash.SETS):
+        found = [(r["u"], r["v"]) for r in simhash.exact_links(docs, kinds, groups, 5, tile).collect()]
+        prints = [shingles(t) for t in texts]
+        assert all(len(prints[u] & prints[v]) >= 0.8 * len(prints[u] | prints[v]) for u, v in found)
+        at = list(range(len(texts)))
+        for u, v in found:
+            at = [at[u] if x == at[v] else x for x in at]
+        assert len(set(at)) == 6 and len(set(at[:41])) == 1
