@@ -358,8 +358,15 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, similar: b
 
 
 def one_of_each(docs: DataFrame, words: int = 5, similar: bool = True, radius: int = 2) -> DataFrame:
-    """The rows of docs, all columns, with one document (the least doc_id) of each class of
-    near_duplicates(). Of repeated rows of a doc_id one stays; rows without a doc_id all stay."""
-    found = near_duplicates(docs, words, radius, similar).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    """The rows of docs, all columns, with one document (the least doc_id, and of its texts the least
+    text_mark) of each class of near_duplicates(). Different texts of one doc_id are told apart; of
+    repeated rows one stays; rows without a doc_id all stay."""
+    if similar:
+        kinds = similar_classes(docs, words)[1]
+        found = kinds.groupBy("class").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_kept_id"), F.col("first.mark").alias("_kept_mark"))
+        named = docs.filter(docs["doc_id"].isNotNull()).withColumn("_text_mark", text_mark(F.col("text")))
+        kept = named.join(found, (named["doc_id"] == found["_kept_id"]) & (named["_text_mark"] == found["_kept_mark"]), "left_semi").dropDuplicates(["doc_id", "_text_mark"]).drop("_text_mark")
+        return kept.unionByName(docs.filter(docs["doc_id"].isNull()))
+    found = near_duplicates(docs, words, radius).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
     kept = docs.join(found, docs["doc_id"] == found["_kept_id"], "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.filter(docs["doc_id"].isNull()))

@@ -149,3 +149,9 @@ def test_similarity_just_above_and_below(spark, n, alike):
         assert abs(len(a & b) / len(a | b) - (0.82 if alike else 0.78)) < 0.005
         rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(other))]
     assert kept_ids(spark, rows) == (list(range(0, 80, 2)) if alike else list(range(80)))
+
+
+def test_texts_that_share_a_doc_id(spark):
+    a, b, c = words(100, 61), words(100, 62), words(100, 63)
+    assert kept_ids(spark, [(11, a), (11, b), (11, b), (12, c)]) == [11, 11, 12]
+    assert kept_ids(spark, [(5, a), (11, a), (11, b), (12, c)]) == [5, 11, 12]
