@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratavox.types import Grid, voxels
 
-from .geometry import deskew, whole_volumes
+from .geometry import deskew, deskew_geometry, whole_volumes
 
 #: A smaller denominator gives ratio 0.
 LEAST = 1e-5
@@ -130,6 +130,32 @@ def psf_skewed(planes: DataFrame, grid: Grid, angle: float, step: float, xy_res:
     return deskew(planes, grid, 180 - angle, step, xy_res)
 
 
+def kernel_resampled(kernel: np.ndarray, spacing: float, wanted: float) -> np.ndarray:
+    """Pages of a small kernel at a distance of `wanted` instead of `spacing`, as geometry.resample_spacing does."""
+    if spacing == wanted:
+        return kernel
+    n = int(len(kernel) * spacing / wanted)
+    if n < 1:
+        raise ValueError("the kernel is thinner than one page of the image")
+    at = np.arange(n) * (wanted / spacing)
+    lo = np.floor(at).astype(int)
+    w = (at - lo)[:, None, None]
+    mixed = kernel[np.minimum(lo, len(kernel) - 1)] * (1 - w) + kernel[np.minimum(lo + 1, len(kernel) - 1)] * w
+    return np.where(((at <= len(kernel) - 1) & (lo < len(kernel)))[:, None, None], mixed, 0.0)
+
+
+def kernel_skewed(kernel: np.ndarray, angle: float, step: float, xy_res: float, fill: float = 0.0) -> np.ndarray:
+    """psf_skewed() of a small kernel. fill is in 16-bit counts, as a part of 65535."""
+    nz, ny, nx = kernel.shape
+    shift, out = deskew_geometry(Grid(nx, ny, nz), 180 - angle, step, xy_res)
+    offset = np.arange(nz)[:, None] * shift + (out.nx - nx if shift < 0 else 0)
+    x = np.arange(out.nx)[None, :] - offset
+    f = np.floor(x)
+    pixel = lambda k: np.take_along_axis(kernel, np.broadcast_to(np.clip(k, 0, nx - 1).astype(int)[:, None, :], (nz, ny, out.nx)), 2)
+    w = (x - f)[:, None, :]
+    return np.where(((x >= -0.5) & (x < nx - 0.5))[:, None, :], pixel(f) * (1 - w) + pixel(f + 1) * w, fill / 65535)
+
+
 def psf_resampled(planes: DataFrame, ratio: float) -> DataFrame:
     """Fewer pages by cutting the spectrum along z: ratio = new page distance / old one (>= 1)."""
 

@@ -23,6 +23,8 @@ class Inputs:
     dark: DataFrame | None = None
     norm: DataFrame | None = None
     psf: np.ndarray | None = None
+    #: Distance of the kernel's pages; None: that of the image's.
+    psf_spacing: float | None = None
     dtype: str = "uint16"
 
 
@@ -50,7 +52,12 @@ def run(plan: Plan, given: Inputs) -> dict[str, DataFrame]:
             s = (plan.decon_first or {})["decon"] if stage.startswith("decon_first") else plan.decon or {}
             if given.psf is None:
                 raise ConfigError("decon needs a point-spread function")
-            sharp = decon.deconvolve(unit(planes), given.psf, s["n"], s["subtract"])
+            skew = (plan.decon_first or {})["deskew"] if stage.startswith("decon_first") else None
+            spacing = z_spacing(given.step, skew["angle"]) if skew else grid.sz
+            kernel = given.psf if given.psf_spacing is None else decon.kernel_resampled(given.psf, given.psf_spacing, spacing)
+            if skew:  # the kernel as the raw data are
+                kernel = decon.kernel_skewed(kernel, skew["angle"], given.step, skew["xy-res"], skew["fill"])
+            sharp = decon.deconvolve(unit(planes), kernel, s["n"], s["subtract"])
             result = counts(sharp, s["bit-depth"]), grid
         else:
             even, _ = geometry.isotropic(unit(planes), grid)

@@ -144,3 +144,54 @@ def test_runner_refuses_what_it_cannot_do(spark):
         runner.run(plan, runner.Inputs(planes(spark, RNG.random((2, 2, 2))), Grid(2, 2, 2), 0.4))
     with pytest.raises(ValueError, match="leave nothing"):
         pixels.crop(planes(spark, RNG.random((2, 2, 2))), Grid(2, 2, 2), 1, 1)
+
+
+def skewed(k, angle, step, res):
+    """The kernel sheared at 180 - angle, pixel by pixel."""
+    shift = step * np.cos(np.radians(180 - angle)) / res
+    nz, ny, nx = k.shape
+    width = int(np.ceil(nx + abs(shift) * (nz - 1)))
+    out = np.zeros((nz, ny, width))
+    for z in range(nz):
+        for i in range(width):
+            x = i - z * shift - (width - nx if shift < 0 else 0)
+            if -0.5 <= x < nx - 0.5:
+                f = int(np.floor(x))
+                out[z, :, i] = k[z, :, max(f, 0)] * (1 - (x - f)) + k[z, :, min(f + 1, nx - 1)] * (x - f)
+    return out
+
+
+def test_decon_first_query_uses_the_skewed_kernel(spark):
+    from stratavox.plans.queries import ANGLE, QUERIES, RES, STEP
+
+    data = "/root/testdata/sf0.001"
+    got = {(r["a"], r["b"]): r["v"] for r in QUERIES["pipeline_decon_first"](spark, data).filter("image_id = 0").collect()}
+    a = array(fixtures.planes(spark, data).filter("image_id = 0")) / 65535
+    sharp = decon.richardson_lucy(a, skewed(fixtures.kernel(), ANGLE, STEP, RES), 2)
+    counts = np.trunc(np.clip(sharp, 0, 1) * 65535)
+    moved, grid = geometry.deskew(planes(spark, counts / 65535), Grid(8, 8, 25), ANGLE, STEP, RES)
+    even, _ = geometry.isotropic(planes(spark, np.trunc(np.clip(array(moved), 0, 1) * 65535) / 65535), grid)
+    top = np.trunc(np.clip(array(even), 0, 1) * 65535).max(axis=0)
+    assert set(got) == {(y, x) for y in range(top.shape[0]) for x in range(top.shape[1])}
+    assert max(abs(got[y, x] - top[y, x]) for y, x in got) <= 2  # truncated three times on the way
+
+
+def test_a_kernel_of_another_spacing_is_resampled(spark):
+    a, k = RNG.random((9, 6, 12)), RNG.random((5, 3, 3))
+    angle, step, res = 31.8, 0.4, 0.104
+    sz = step * np.sin(np.radians(angle))
+
+    def pages(wanted):
+        out = []
+        for n in range(int(5 * 0.1 / wanted)):
+            p = n * wanted / 0.1
+            f = int(np.floor(p))
+            out.append(k[f] * (1 - (p - f)) + k[min(f + 1, 4)] * (p - f))
+        return np.array(out)
+
+    first = parse_config(json.dumps({"paths": {"root": "/r", "psf": {"laser": {"488": "p.tif"}}}, "decon-first": {"decon": {"n": 2, "bit-depth": 32}, "deskew": {}}}))
+    after = parse_config(json.dumps({"paths": {"root": "/r", "psf": {"laser": {"488": "p.tif"}}}, "decon": {"n": 2, "bit-depth": 32}}))
+    df, grid = planes(spark, a), Grid(12, 6, 9, res, res, 0.15)
+    given = runner.Inputs(df, grid, step, psf=k, psf_spacing=0.1, dtype="float64")
+    for plan, stage, kernel in ((first, "decon_first.decon", skewed(pages(sz), angle, step, res)), (after, "decon", pages(0.15))):
+        assert np.allclose(array(runner.run(plan, given)[stage]), np.clip(decon.richardson_lucy(a, kernel, 2), 0, 1), atol=1e-5)
