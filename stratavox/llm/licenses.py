@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,9 +61,35 @@ KNOWN = (
 )
 
 
+#: Titles that stand above some of the whole texts, or not.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'),
+    "Unlicense": ("The Unlicense", "Unlicense"),
+}
+#: The end of the terms in texts that explain afterwards how to apply them; files have that part or not.
+TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """Whole licences (license_texts/ and those of KNOWN), with and without title and appendix."""
+    bodies = [(path.stem, path.read_text()) for path in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))]
+    bodies += [(name, text) for name, text in KNOWN if name in TITLES and len(text) > 500]
+    out = list(bodies)
+    out += [(name, f"{title}\n\n{text}") for name, text in bodies for title in TITLES.get(name, ())]
+    for name, text in bodies:
+        if TERMS_END in text:
+            terms = text[: text.index(TERMS_END)]
+            out += [(name, terms), (name, terms + TERMS_END)]
+    return tuple(out)
+
+
 def canonical(text: Column) -> Column:
-    """Lower case, without copyright lines and punctuation, equivalent spellings made one; lines stay apart."""
-    out = F.regexp_replace(F.lower(text), "(?m)^[^\\n\\p{L}]*(copyright\\b|\\(c\\)|©|all rights reserved)[^\\n]*$", "")
+    """Lower case, without copyright statements and punctuation, equivalent spellings made one; lines stay
+    apart. A line that starts with 'copyright' or '(c)' is a statement if a sign or a year follows."""
+    out = F.regexp_replace(F.lower(text), "(?m)^[^\\n\\p{L}]*(copyright\\b(?=[^\\n]*(\\(c\\)|©|\\b(19|20)[0-9]{2}\\b|yyyy|<year>))|\\(c\\)(?=[^\\n]*(copyright|\\b(19|20)[0-9]{2}\\b))|©|all rights reserved)[^\\n]*$", "")
     for pattern, form in EQUIVALENT:
         out = F.regexp_replace(out, pattern, form)
     out = F.regexp_replace(out, "[^\\p{L}\\p{N}\\n]+", " ")
@@ -72,9 +100,9 @@ def one_line(canonical_text: Column) -> Column:
     return F.trim(F.translate(canonical_text, "\n", " "))
 
 
-def known_licenses(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """(digest, license) of known texts."""
-    rows = spark.createDataFrame(list(known), "license string, text string")
+def known_licenses(spark: SparkSession, known: tuple[tuple[str, str], ...] | None = None) -> DataFrame:
+    """(digest, license) of known texts; without any given, of KNOWN and whole_texts()."""
+    rows = spark.createDataFrame(list(KNOWN + whole_texts() if known is None else known), "license string, text string")
     return rows.select(F.sha2(one_line(canonical(F.col("text"))), 256).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
 
 

@@ -8,6 +8,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+from pathlib import Path
+
 import numpy as np
 import public_tokenizers
 import pytest
@@ -334,3 +336,17 @@ def test_toxicity(spark, docs, empty):
     odd = toxicity.score(docs, labels)
     assert odd.count() == docs.count() and odd.filter("score is null or score < 0 or score > 1").count() == 0
     assert toxicity.score(empty, labels.limit(0)).count() == 0
+
+
+def test_whole_licences(spark):
+    folder = Path(licenses.__file__).parent / "license_texts"
+    mit, isc = ([t for name, t in licenses.KNOWN if name == n and len(t) > 500][0] for n in ("MIT", "ISC"))
+    wrapped = isc.replace("provided that the above ", "provided that the above\n").replace("in all copies.", "in all\ncopies.")
+    assert "\ncopyright notice and this permission" in wrapped
+    given = [("MIT", f"MIT License\n\nCopyright (c) 2020 Some One\n\n{mit}"), ("MIT", mit), ("ISC", f"ISC License\n\nCopyright 2019 Some One\n\n{wrapped}"), ("ISC", isc)]
+    given += [(p.stem, p.read_text()) for p in sorted(folder.glob("*.txt"))]
+    apache = (folder / "Apache-2.0.txt").read_text()
+    given += [("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2021 Some One")), ("Apache-2.0", apache[: apache.index("APPENDIX")]), ("Apache-2.0", " ".join(apache[: apache.index("APPENDIX")].split()))]
+    given += [("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n" + (folder / "BSD-3-Clause.txt").read_text())]
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(given)], "doc_id long, text string")
+    assert {r["doc_id"]: r["text_license"] for r in licenses.scan(docs).collect()} == {k: name for k, (name, _) in enumerate(given)}
