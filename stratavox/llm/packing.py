@@ -9,57 +9,142 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyspark
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, id_text, release, settle, slices
+from .common import TwoGenerations, array_slices, id_text, release, settle
 
-#: Words, and pieces of words, whose ids a worker keeps, in each of two generations.
-CACHED_WORDS, CACHED_PIECES = 60_000, 100_000
-#: str.split() takes these for white space too; the tokenizer does not.
-#: The tokenizer's pieces of a lower-cased word.
+#: Pieces of words whose ids a worker keeps, in each of two generations.
+CACHED_PIECES = 120_000
+#: Bytes of text that a worker handles at a time, and of new pieces in one call of the tokenizer,
+#: whose own records of a text take some hundred times its bytes.
+SLICE_BYTES, CALL_BYTES = 4 << 20, 1 << 14
+#: The tokenizer's pieces of a lower-cased word; words that C++ lower-cases just as it does; and marks
+#: that make one piece after letters.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+LATIN = r"^[\x21-\x{12F}\x{131}-\x{24F}]+$"
+MARKS = ".,;:!?()-\""
+#: str.split() takes these for white space too; the tokenizer does not.
 NOT_SPACE = re.compile(r"[\x1c-\x1f]")
 SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
+def _gather(ids: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs number at[0], at[1] ... of ids, whose runs have these sizes, and the sizes of those."""
+    first = np.cumsum(size) - size
+    n = size[at]
+    ends = np.cumsum(n)
+    return ids[np.repeat(first[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)], n
+
+
 class WordCodec:
     """Whole-text ids of a tokenizer that normalises and splits at white space and never across it."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.cache, self.pieces = TwoGenerations(CACHED_WORDS), TwoGenerations(CACHED_PIECES)
+        self.tokenizer, self.merges = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # For pieces that are cut and lower-cased already: the same merges alone.
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.cache = TwoGenerations(CACHED_PIECES)
         self.final = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.final[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+        # Added tokens are one id wherever they stand, inside words too.
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else re.compile("(?!)")
+        self.unusual = "|".join([NOT_SPACE.pattern, *map(re.escape, self.added)])
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        """The tokenizer's own pieces of Latin words are encoded once each; other words, one by one."""
-        parts = [PIECE.findall(w.lower()) if w.isascii() or max(w) < "\u0250" else None for w in words]
-        known = self.pieces.get_all({p for own in parts if own for p in own}, self._encode_pieces)
-        others = iter(self._encode_each([w for w, own in zip(words, parts, strict=True) if own is None]))
-        return [next(others) if own is None else known[own[0]] if len(own) == 1 else b"".join([known[p] for p in own]) for own in parts]
+    def _calls(self, texts: list[str]):
+        """Runs of texts of about CALL_BYTES."""
+        at = 0
+        while at < len(texts):
+            end, held = at, 0
+            while end < len(texts) and held < CALL_BYTES:
+                held += len(texts[end]) + 8
+                end += 1
+            yield texts[at:end]
+            at = end
 
     def _encode_each(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """All pieces as one text; each ends at a token with the end-of-word mark."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(pieces)], add_special_tokens=False)[0].ids, "<u4")
-        ends = (4 * (np.flatnonzero(self.final[ids]) + 1)).tolist()
-        if len(ends) != len(pieces):
-            return self._encode_each(pieces)
-        data = ids.tobytes()
-        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return [np.array(e.ids, "<u4").tobytes() for some in self._calls(words) for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        """Pieces of a call as one text; each ends at a token with the end-of-word mark. Whole words,
+        marked by a space, are encoded one by one."""
+        out: dict[str, bytes] = {}
+        for some in self._calls([p for p in parts if p and p[0] != " "]):
+            ids = np.array(self.merges.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.final[ids]) + 1)).tolist()
+            data = ids.tobytes()
+            out.update(zip(some, [data[a:b] for a, b in zip([0, *ends], ends, strict=False)] if len(ends) == len(some) else self._encode_each(some), strict=True))
+        whole = [p for p in parts if p and p[0] == " "]
+        out.update(zip(whole, self._encode_each(whole), strict=True))
+        return [out[p] if p else b"" for p in parts]
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        split = [[w for w in SPACE.split(t) if w] if NOT_SPACE.search(t) else t.split() for t in texts]
-        known = self.cache.get_all({w for words in split for w in words}, self._encode)
-        return [b"".join([known[w] for w in words]) for words in split]
+    def _encode_words(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids, one after the other, and how many each has.
+
+        Latin words of letters, with marks behind them or not, are cut by Arrow; other Latin words by
+        the pattern; words of other scripts are one part, marked by a space.
+        """
+        low = pc.utf8_lower(words)
+        core = pc.utf8_rtrim(low, MARKS)
+        latin = pc.match_substring_regex(words, LATIN)
+        letters = pc.and_(pc.utf8_is_alpha(core), latin)
+        marked = pc.and_(letters, pc.not_equal(core, low)).to_numpy(zero_copy_only=False)
+        coded = pc.if_else(letters, core, None).dictionary_encode()
+        parts, letters = coded.dictionary.to_pylist(), letters.to_numpy(zero_copy_only=False)
+        first, count = coded.indices.fill_null(0).to_numpy(), 1 + marked.astype(np.int64)
+        # One mark is that byte; only more of them need to be cut out.
+        size = pc.binary_length(low).to_numpy(zero_copy_only=False)
+        tail = size - pc.binary_length(core).to_numpy(zero_copy_only=False)
+        one, more_marks = marked & (tail == 1), np.flatnonzero(marked & (tail > 1))
+        last = np.frombuffer(low.buffers()[2] or b"", np.uint8)[(np.cumsum(size) - 1)[one]]
+        tails = [w[-n:] for w, n in zip(low.take(pa.array(more_marks)).to_pylist(), tail[more_marks].tolist(), strict=True)]
+        others = np.flatnonzero(~letters)
+        is_latin = latin.to_numpy(zero_copy_only=False)[others].tolist()
+        cut = [PIECE.findall(w.lower()) if x else [" " + w] for w, x in zip(words.take(pa.array(others)).to_pylist(), is_latin, strict=True)]
+        count[others] = np.fromiter(map(len, cut), np.int64, len(cut))
+        ends = np.cumsum(count)
+        at = np.empty(ends[-1] if len(ends) else 0, np.int64)
+        at[(ends - count)[letters]] = first[letters]
+        more = dict.fromkeys([p for own in cut for p in own] + tails + list(MARKS))
+        more = dict(zip(more, range(len(parts), len(parts) + len(more)), strict=True))
+        marks = np.zeros(128, np.int64)
+        marks[list(map(ord, MARKS))] = [more[m] for m in MARKS]
+        at[ends[one] - 1] = marks[last]
+        at[ends[more_marks] - 1] = [more[t] for t in tails]
+        at[np.repeat(~letters, count)] = [more[p] for own in cut for p in own]
+        parts += more
+        own = self.cache.get_list(parts, self._encode_parts)
+        ids, size = _gather(np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), np.int64, len(own)) >> 2, at)
+        return ids, np.diff(np.concatenate([[0], np.cumsum(size)])[ends], prepend=0)
+
+    def _encode_text(self, text: str) -> bytes:
+        """A text with added tokens, or with characters that are no white space to the tokenizer alone."""
+        out = []
+        for part in self.cut.split(text):
+            if part in self.added:
+                out.append(self.added[part])
+            else:
+                out.append(self._encode_words(pa.array([w for w in SPACE.split(part) if w], pa.string()))[0].tobytes())
+        return b"".join(out)
+
+    def encode_batch(self, texts: pa.StringArray) -> list[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit bytes."""
+        odd = pc.match_substring_regex(texts, self.unusual).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(~odd), texts, "") if odd.any() else texts
+        split = pc.utf8_split_whitespace(plain)
+        words = split.flatten().dictionary_encode()
+        ids, size = _gather(*self._encode_words(words.dictionary), words.indices.to_numpy())
+        borders = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+        borders = (4 * np.concatenate([[0], np.cumsum(size)])[borders]).tolist()
+        data = ids.tobytes()
+        return [self._encode_text(texts[i].as_py()) if o else data[a:b] for i, (o, a, b) in enumerate(zip(odd.tolist(), borders, borders[1:], strict=False))]
 
 
 @lru_cache(2)
@@ -139,8 +224,10 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int
 def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
     """Pack whole documents into sequences of at most `capacity` tokens; one row per piece.
 
-    A document is its ids and then end_id; a null or empty text is end_id alone. Only documents
-    longer than the capacity are cut, at its multiples. Repeated rows and null doc_ids are packed
+    A document is its ids, as the tokenizer's encode(text, add_special_tokens=False) gives them
+    (added tokens that stand in a text are their one id), and then end_id; a null or empty text is
+    end_id alone. Only documents longer than the capacity are cut, at its multiples, however long
+    they are; a text of any length is encoded whole, some words at a time. Repeated rows and null doc_ids are packed
     like any other row; an empty table gives no rows; other columns are ignored.
     Columns: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -153,9 +240,9 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0) -> D
         part = pyspark.TaskContext.get().partitionId()
         last = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for doc_ids, texts in slices(batch):
+            for doc_ids, texts in array_slices(batch, SLICE_BYTES):
                 rows = []
-                for doc_id, ids in zip(doc_ids, codec.encode_batch(texts), strict=True):
+                for doc_id, ids in zip(doc_ids.to_pylist(), codec.encode_batch(texts), strict=True):
                     ids += last
                     for at in range(0, len(ids), 4 * capacity):
                         data = ids[at : at + 4 * capacity]
