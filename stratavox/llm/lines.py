@@ -10,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, settle, slices
+from .common import id_text, release, row_slices, settle, slices
 
 #: Keys in a filter shard, about.
 SHARD_KEYS = 100_000
-#: Filters of this many bytes together at most go to every executor; larger ones are not used, and
-#: all keys go to the exact tables.
+#: Filters of this many bytes together at most go to every executor, so that a line is looked up before
+#: it moves; of larger ones a task gets one shard at a time, and the lines of that shard.
 FILTER_BYTES = 32 << 20
+#: Line occurrences of a shard, about, that one task looks up.
+SHARD_ROWS = 1_000_000
 BLANK = b" \t\n\v\f\r"
 
 
@@ -86,21 +88,25 @@ def _points(key: bytes) -> int:
     return len(key) if key.isascii() else len(key.decode())
 
 
+def digests(text: bytes, least_chars: int) -> set[bytes]:
+    """The 128-bit keys of a text's different lines of `least_chars` code points or more."""
+    return {_digest(k) for k in set(map(line_key, text.split(b"\n"))) if k and _points(k) >= least_chars}
+
+
 def document_keys(docs: DataFrame, sign: int = 1, least_chars: int = 1) -> DataFrame:
     """(high, low, n): 128-bit line keys and in how many of the documents (rows) each is, times sign.
     Each worker adds up its own documents before anything moves."""
 
     def run(batches):
         for batch in batches:
-            counts: dict[bytes, int] = {}
             for _, texts in slices(batch):
+                counts: dict[bytes, int] = {}
                 for text in texts:
-                    for key in set(map(line_key, text.split(b"\n"))):
-                        if key and _points(key) >= least_chars:
-                            d = _digest(key)
-                            counts[d] = counts.get(d, 0) + sign
-            both = np.frombuffer(b"".join(counts), "<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array(list(counts.values()), pa.int64())], names=["high", "low", "n"])
+                    for d in digests(text, least_chars):
+                        counts[d] = counts.get(d, 0) + sign
+                both = np.frombuffer(b"".join(counts), "<i8").reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy()), pa.array(list(counts.values()), pa.int64())], names=["high", "low", "n"])
+        release()
 
     return id_text(docs, binary=True).mapInArrow(run, "high long, low long, n long").groupBy("high", "low").agg(F.sum("n").alias("n"))
 
@@ -112,7 +118,9 @@ def _shard(shards: int):
 class LineIndex:
     """Reference counts of line keys (exact) and, of the keys found in `least_docs` documents or
     more, cuckoo filters by shard. insert() and delete() return the index after them, so a
-    document's removal takes back what its insertion did."""
+    document's removal takes back what its insertion did. Rows are documents, repeated ones too;
+    null and empty texts have no keys; an empty table changes nothing; to delete what was never
+    inserted takes its keys' counts down, and counts of 0 or less are gone."""
 
     def __init__(self, counts: DataFrame, least_docs: int = 10, least_chars: int = 1, filters: DataFrame | None = None, shards: int = 0):
         self.counts, self.least_docs, self.least_chars = counts, least_docs, least_chars
@@ -160,31 +168,61 @@ class LineIndex:
         held = self.filters.agg(F.sum(F.length("table"))).first()[0] or 0
         return {r["shard"]: bytes(r["table"]) for r in self.filters.collect()} if held <= FILTER_BYTES else None
 
-    def common_lines(self, docs: DataFrame) -> DataFrame:
-        """(doc_id, keys): the common line keys of documents that have any."""
+    def _found(self, docs: DataFrame) -> DataFrame:
+        """(doc_id, high, low) of the line keys that the filters let through."""
         tables, shards, least = self._small_filters(), self.shards, self.least_chars
 
-        def probe(batches):
-            filters = None if tables is None else {s: CuckooFilter(table=np.frombuffer(t, np.uint16).reshape(-1, 4)) for s, t in tables.items()}
+        def keys(batches):
+            filters = {s: CuckooFilter(table=np.frombuffer(t, np.uint16).reshape(-1, 4)) for s, t in (tables or {}).items()}
             for batch in batches:
-                ids, keys = [], []
                 for doc_ids, texts in slices(batch):
-                    for doc_id, text in zip(doc_ids, texts, strict=True):
-                        own = {_digest(k) for k in set(map(line_key, text.split(b"\n"))) if k and _points(k) >= least}
-                        keys.extend(own)
-                        ids.extend([doc_id] * len(own))
-                both = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
-                high, low, row = both[:, 0].copy(), both[:, 1].copy(), np.arange(len(both))
-                if filters is not None:
-                    shard = (high >> 40) % shards
-                    row = np.concatenate([row[:0], *[at[f.contains(high[at].view(np.uint64), low[at].view(np.uint64))] for s, f in filters.items() for at in [np.flatnonzero(shard == s)]]])
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()).take(pa.array(row)), pa.array(high[row]), pa.array(low[row])], names=["doc_id", "high", "low"])
-
-        found = id_text(docs, binary=True).mapInArrow(probe, "doc_id long, high long, low long").join(self.common, ["high", "low"])
+                    own = [digests(text, least) for text in texts]
+                    both = np.frombuffer(b"".join([d for some in own for d in some]), "<i8").reshape(-1, 2)
+                    ids = pa.array(doc_ids, pa.int64()).take(pa.array(np.repeat(np.arange(len(own)), [len(x) for x in own])))
+                    high, low, row = both[:, 0].copy(), both[:, 1].copy(), np.arange(len(both))
+                    if tables is not None:
+                        shard = (high >> 40) % shards
+                        row = np.concatenate([row[:0], *[at[f.contains(high[at].view(np.uint64), low[at].view(np.uint64))] for s, f in filters.items() for at in [np.flatnonzero(shard == s)]]])
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(high[row]), pa.array(low[row])], names=["doc_id", "high", "low"])
+            release()
+
+        found = id_text(docs, binary=True).mapInArrow(keys, "doc_id long, high long, low long")
+        return found if tables is not None else self._sifted(found)
+
+    def _sifted(self, found: DataFrame) -> DataFrame:
+        """The keys that the filter of their shard lets through, by shard. A shard whose lines occur
+        often goes to many tasks, each with a copy of its filter and a part of its lines."""
+        tasks = settle(self.counts.groupBy(_shard(self.shards).alias("shard")).agg(F.greatest(F.ceil(F.sum("n") / SHARD_ROWS), F.lit(1)).cast("int").alias("tasks")))
+        tasks = F.broadcast(tasks)  # one small row for each SHARD_KEYS common lines
+        tables = self.filters.join(tasks, "shard").select("shard", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), "table", *[F.lit(None).cast("long").alias(c) for c in ("doc_id", "high", "low")])
+        keys = found.withColumn("shard", _shard(self.shards)).join(tasks, "shard").select("shard", F.pmod(F.xxhash64("doc_id"), "tasks").cast("int").alias("task"), F.lit(None).cast("binary").alias("table"), "doc_id", "high", "low")
+        dealt = tables.unionByName(keys).repartition("shard", "task").sortWithinPartitions("shard", "task", F.col("table").isNull())
+
+        def run(batches):
+            own, held = None, None
+            for batch in row_slices(batches, 65536):
+                shard, task = (batch.column(c).to_numpy() for c in ("shard", "task"))
+                is_table = batch.column("table").is_valid().to_numpy(zero_copy_only=False)
+                cuts = np.flatnonzero((np.diff(shard) != 0) | (np.diff(task) != 0) | is_table[1:] | is_table[:-1]) + 1
+                kept = [np.empty(0, np.int64)]
+                for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(shard)], strict=True):
+                    if is_table[a]:
+                        own, held = (shard[a], task[a]), CuckooFilter(table=np.frombuffer(batch.column("table")[a].as_py(), np.uint16).reshape(-1, 4))
+                    elif own == (shard[a], task[a]):
+                        high, low = (batch.column(c).slice(a, b - a).to_numpy().view(np.uint64) for c in ("high", "low"))
+                        kept.append(a + np.flatnonzero(held.contains(high, low)))
+                yield batch.select(["doc_id", "high", "low"]).take(pa.array(np.concatenate(kept)))
+
+        return dealt.mapInArrow(run, "doc_id long, high long, low long")
+
+    def common_lines(self, docs: DataFrame) -> DataFrame:
+        """(doc_id, keys): the common line keys of documents that have any; the exact table decides."""
+        found = self._found(docs).join(self.common, ["high", "low"])
         return found.groupBy("doc_id").agg(F.collect_set(F.struct("high", "low")).alias("keys"))
 
     def clean(self, docs: DataFrame) -> DataFrame:
-        """docs with the text rid of all common lines, and n_lines and n_dropped."""
+        """docs with the text rid of all common lines, and n_lines and n_dropped; nulls, repeated rows, an
+        empty table and clashing names as for drop_common_lines()."""
         return _without(docs, self.common_lines(docs), self.least_chars)
 
 
@@ -195,11 +233,15 @@ def _without(docs: DataFrame, common: DataFrame, least_chars: int) -> DataFrame:
     at = rows.join(common, rows["i"].eqNullSafe(common["doc_id"]), "left").select("carried", "text", "keys")
 
     def drop(batches):
-        for batch in batches:
+        for batch in row_slices(batches):
             lines, dropped, kept = [], [], []
-            for raw, keys in zip(batch.column("text"), batch.column("keys").to_pylist(), strict=True):
+            lists = batch.column("keys")
+            flat = lists.flatten()
+            gone_all = np.stack([np.asarray(flat.field(k), np.int64) for k in (0, 1)], axis=1).astype("<i8").tobytes()
+            ends = 16 * np.cumsum(lists.value_lengths().fill_null(0).to_numpy())
+            for raw, a, b in zip(batch.column("text"), [0, *ends.tolist()], ends.tolist(), strict=False):
                 parts = raw.as_py().split(b"\n")
-                gone = {np.array([k["high"], k["low"]], "<i8").tobytes() for k in keys or ()}
+                gone = {gone_all[i : i + 16] for i in range(a, b, 16)}
                 stay = parts if not gone else [p for p in parts if not ((k := line_key(p)) and _digest(k) in gone)]
                 lines.append(len(parts))
                 dropped.append(len(parts) - len(stay))
@@ -215,7 +257,7 @@ def drop_common_lines(docs: DataFrame, least_docs: int = 10, least_chars: int =
     A key is the line stripped of space, tab, \\n, \\v, \\f, \\r at both ends, A-Z lower-cased, of
     `least_chars` code points or more. A null or empty text is one empty line, which stays; each row
     counts as a document, so repeated rows count as often as they occur; rows that share a doc_id
-    lose what any of them has in common; an empty table gives no rows. Columns n_lines and n_dropped
+    lose what any of them has in common; a text of any length is split whole; an empty table gives no rows. Columns n_lines and n_dropped
     are added, in place of columns of that name.
     """
     return LineIndex.of(docs, least_docs, least_chars).clean(docs)
