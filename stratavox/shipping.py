@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
+#: Rows of a Parquet batch, where the session does not say: a column of long texts is held whole.
+BATCH_ROWS = 1024
 #: Bytes that Spark hands to a Python worker at a time, where the session does not say: the number of
 #: rows alone (10,000) bounds nothing when a row is a long text or a page.
 BATCH_BYTES = 4 << 20
@@ -17,10 +19,10 @@ BATCH_BYTES = 4 << 20
 
 def ship(spark: SparkSession) -> None:
     """Add the package's sources to the application, once, so that workers on any machine import it,
-    and bound the Arrow batches of sessions that do not bound them themselves."""
-    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(limit, None) is None:
-        spark.conf.set(limit, str(BATCH_BYTES))
+    and bound the Arrow and Parquet batches of sessions that do not bound them themselves."""
+    for setting, bound in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.parquet.columnarReaderBatchSize", BATCH_ROWS)):
+        if spark.conf.get(setting, None) is None:
+            spark.conf.set(setting, str(bound))
     context = spark.sparkContext
     if getattr(context, "_stratavox_shipped", False):
         return
