@@ -47,7 +47,8 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.format_conversations(read(spark, sf_dir, "conversations"))
+    turns = chat.format_conversations(read(spark, sf_dir, "conversations"))
+    return turns.select("*", F.length("rendered").cast("long").alias("n_chars"), F.sha2("rendered", 256).alias("rendered_sha256")).drop("rendered")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
