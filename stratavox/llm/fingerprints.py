@@ -24,26 +24,24 @@ def hashes_of(words: str) -> Column:
 
 
 def sketch_of(hashes: str, fraction: float = FRACTION) -> Column:
-    """The sorted different hashes below the threshold. Where none is, the lowest (unsigned) alone
-    stands for the text, so that only a text without words has an empty sketch."""
-    below = F.filter(hashes, lambda h: (h >= 0) & (h < F.lit(int(fraction * 2**64))))
-    lowest = F.array_min(F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(-(2**63)))))
-    return F.when(F.size(below) > 0, F.sort_array(F.array_distinct(below))).when(F.size(hashes) > 0, F.array(lowest.bitwiseXOR(F.lit(-(2**63))))).otherwise(F.array().cast("array<bigint>"))
+    """The sorted different hashes below the threshold, none where none is."""
+    return F.sort_array(F.array_distinct(F.filter(hashes, lambda h: (h >= 0) & (h < F.lit(int(fraction * 2**64))))))
 
 
 def merged(a: Column, b: Column) -> Column:
-    """The sketch of two texts together, but for shingles across their border."""
+    """The sketch of two texts' shingles together: exactly sketch_of() of the union of their hashes."""
     return F.sort_array(F.array_union(a, b))
 
 
-def likeness(a: str, b: str) -> Column:
-    """Estimated Jaccard likeness of two sketches, 0 to 1; two empty ones are alike."""
+def likeness(a: str, b: str, same: Column) -> Column:
+    """Estimated Jaccard likeness of two sketches, 0 to 1. Two empty ones, of texts without words or of
+    few shingles, say nothing: then `same`, whether the texts have the same words, decides (1 or 0)."""
     both, one = F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b))
-    return F.when(one == 0, F.lit(1.0)).otherwise(both / one)
+    return F.when(one == 0, same.cast("double")).otherwise(both / one)
 
 
 def containment(a: str, b: str) -> Column:
-    """Estimated part of a's shingles that b has too, however unequal they are; 1 for an empty a."""
+    """Estimated part of a's shingles that b has too, however unequal they are; 1 for an empty sketch a."""
     return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
 
 
@@ -52,12 +50,16 @@ def as_text(sketch: str) -> Column:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and sketch array<long> of every whole text; one narrow stage.
+    """doc_id, sketch array<long> and words_hash (of all words in order, long) of every whole text; one
+    narrow stage.
 
-    A null or empty text has an empty sketch; null doc_ids and repeated rows are kept as they are.
+    A null or empty text has an empty sketch, and so may a short one: each shingle is kept with the
+    probability FRACTION, whatever the text's length, which is what makes sketches mergeable. Null
+    doc_ids and repeated rows are kept as they are; a text of any length is read whole; an empty table
+    gives no rows; other columns are ignored.
     """
-    at = id_text(docs).select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", hashes_of("words").alias("hashes"))
-    return at.select("doc_id", sketch_of("hashes").alias("sketch"))
+    at = id_text(docs).select("doc_id", words_of(F.col("text")).alias("words")).select("doc_id", hashes_of("words").alias("hashes"), F.xxhash64("words").alias("words_hash"))
+    return at.select("doc_id", sketch_of("hashes").alias("sketch"), "words_hash")
 
 
 def with_next(docs: DataFrame) -> tuple[DataFrame, object]:
@@ -100,24 +102,26 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     Edited: the last floor(n/4) of n code points give way to the first as many of the next
     document's text. Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next, contained_edited, contained_next. A null text is empty; a single
-    document is its own next; repeated rows follow one another.
+    document is its own next; repeated rows follow one another; an empty table gives no rows; a short
+    text's fingerprint may be empty (see likeness()).
     """
     rows, order = with_next(docs)
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     at = rows.select("doc_id", "range", "is_row", "text", F.lead("text").over(order).alias("next"), F.length("text").alias("n_chars"))
     at = at.select("doc_id", "range", "is_row", "text", "n_chars", F.concat(F.substring("text", F.lit(1), F.col("n_chars") - cut), F.substring("next", F.lit(1), cut)).alias("edited"))
     at = at.select("doc_id", "range", "is_row", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.col("text"), words_of(F.col("text")).alias("words"), words_of(F.coalesce("edited", F.lit(""))).alias("edited_words"))
-    at = at.select("doc_id", "range", "is_row", "text", "n_chars", "edited_sha256", hashes_of("words").alias("hashes"), hashes_of("edited_words").alias("edited_hashes"))
-    at = at.select("doc_id", "range", "is_row", "text", "n_chars", "edited_sha256", sketch_of("hashes").alias("sketch"), sketch_of("edited_hashes").alias("edited_sketch"))
-    at = at.select("*", F.lead("sketch").over(order).alias("next_sketch")).filter("is_row")
+    of = [F.xxhash64("words").alias("own"), F.xxhash64("edited_words").alias("edited_own")]
+    at = at.select("doc_id", "range", "is_row", "text", "n_chars", "edited_sha256", *of, hashes_of("words").alias("hashes"), hashes_of("edited_words").alias("edited_hashes"))
+    at = at.select("doc_id", "range", "is_row", "text", "n_chars", "edited_sha256", "own", "edited_own", sketch_of("hashes").alias("sketch"), sketch_of("edited_hashes").alias("edited_sketch"))
+    at = at.select("*", F.lead("sketch").over(order).alias("next_sketch"), F.lead("own").over(order).alias("next_own")).filter("is_row")
     return at.select(
         "doc_id",
         F.col("n_chars").cast("long").alias("n_chars"),
         "edited_sha256",
         as_text("sketch").alias("fingerprint"),
         as_text("edited_sketch").alias("edited_fingerprint"),
-        likeness("sketch", "edited_sketch").alias("near_edited"),
-        likeness("sketch", "next_sketch").alias("near_next"),
+        likeness("sketch", "edited_sketch", F.col("own") == F.col("edited_own")).alias("near_edited"),
+        likeness("sketch", "next_sketch", F.col("own") == F.col("next_own")).alias("near_next"),
         containment("sketch", "edited_sketch").alias("contained_edited"),
         containment("sketch", "next_sketch").alias("contained_next"),
     )
