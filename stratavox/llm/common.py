@@ -8,7 +8,6 @@ import gc
 import tempfile
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -101,13 +100,13 @@ class Sieve:
         bits = 1 << min(SIEVE_BITS.bit_length() - 1, max(SIEVE_ROW.bit_length() - 1, (16 * keys.count()).bit_length()))
         at = keys.select(F.pmod(F.col(column), F.lit(bits)).alias("bit")).distinct()
 
-        def pack(key: tuple, some: pd.DataFrame) -> pd.DataFrame:
+        def pack(some: pa.Table) -> pa.Table:
             row = np.zeros(SIEVE_ROW, np.uint8)
-            row[some["bit"].to_numpy() % SIEVE_ROW] = 1
-            return pd.DataFrame({"row": [int(key[0])], "bits": [np.packbits(row, bitorder="little").tobytes()]})
+            row[some.column("bit").to_numpy() % SIEVE_ROW] = 1
+            return pa.table({"row": some.column("row").slice(0, 1), "bits": pa.array([np.packbits(row, bitorder="little").tobytes()], pa.binary())})
 
         table = np.zeros((bits // SIEVE_ROW, SIEVE_ROW // 8), np.uint8)
-        for r in at.groupBy(F.floor(F.col("bit") / SIEVE_ROW).alias("row")).applyInPandas(pack, "row long, bits binary").collect():
+        for r in at.withColumn("row", F.floor(F.col("bit") / SIEVE_ROW)).groupBy("row").applyInArrow(pack, "row long, bits binary").collect():
             table[r["row"]] = np.frombuffer(r["bits"], np.uint8)
         return cls(table.ravel())
 

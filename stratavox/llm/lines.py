@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -133,11 +132,11 @@ class LineIndex:
         return cls(document_keys(docs, 1, least_chars), least_docs, least_chars)
 
     def _built(self) -> DataFrame:
-        def build(keys: pd.DataFrame) -> pd.DataFrame:
-            made = CuckooFilter.of(keys.high.to_numpy().view(np.uint64), keys.low.to_numpy().view(np.uint64))
-            return pd.DataFrame({"shard": [int(keys["shard"].iloc[0])], "table": [made.table.tobytes()]})
+        def build(keys: pa.Table) -> pa.Table:
+            made = CuckooFilter.of(*(keys.column(c).to_numpy().view(np.uint64) for c in ("high", "low")))
+            return pa.table({"shard": keys.column("shard").slice(0, 1), "table": pa.array([made.table.tobytes()], pa.binary())})
 
-        return self.common.withColumn("shard", _shard(self.shards)).groupBy("shard").applyInPandas(build, "shard int, table binary")
+        return self.common.withColumn("shard", _shard(self.shards)).groupBy("shard").applyInArrow(build, "shard int, table binary")
 
     def _changed(self, docs: DataFrame, sign: int) -> LineIndex:
         delta = document_keys(docs, sign, self.least_chars)
@@ -146,14 +145,15 @@ class LineIndex:
         crossed = both.filter((F.col("n") >= least) != (F.col("n") + F.col("d") >= least)).select("high", "low", (F.col("d") > 0).alias("up"), _shard(self.shards).alias("shard"))
         after = both.select("high", "low", (F.col("n") + F.col("d")).alias("n")).filter("n > 0")
 
-        def change(key, keys: pd.DataFrame, tables: pd.DataFrame) -> pd.DataFrame:
-            kept = CuckooFilter(table=np.frombuffer(tables["table"].iloc[0], np.uint16).reshape(-1, 4).copy()) if len(tables) else CuckooFilter(4)
-            high, low, up = keys.high.to_numpy().view(np.uint64), keys.low.to_numpy().view(np.uint64), keys.up.to_numpy(bool)
+        def change(key: tuple, keys: pa.Table, tables: pa.Table) -> pa.Table:
+            kept = CuckooFilter(table=np.frombuffer(tables.column("table")[0].as_py(), np.uint16).reshape(-1, 4).copy()) if tables.num_rows else CuckooFilter(4)
+            high, low = (keys.column(c).to_numpy().view(np.uint64) for c in ("high", "low"))
+            up = keys.column("up").to_numpy().astype(bool)
             kept.delete(high[~up], low[~up])
             full = not kept.insert(high[up], low[up])
-            return pd.DataFrame({"shard": [int(key[0])], "table": [None if full else kept.table.tobytes()]})
+            return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "table": pa.array([None if full else kept.table.tobytes()], pa.binary())})
 
-        tables = settle(crossed.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInPandas(change, "shard int, table binary"))
+        tables = settle(crossed.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(change, "shard int, table binary"))
         full = bool(tables.filter("table is null").head(1))
         # A filter that is too full is built anew, with more shards, from the exact table.
         return LineIndex(after, least, self.least_chars) if full else LineIndex(after, least, self.least_chars, tables, self.shards)

@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from .common import TwoGenerations, array_slices, id_text, release, settle
 
 #: Pieces of words whose ids a worker keeps, in each of two generations.
-CACHED_PIECES = 120_000
+CACHED_PIECES = 100_000
 #: Bytes of text that a worker handles at a time, and of new pieces in one call of the tokenizer,
 #: whose own records of a text take some hundred times its bytes.
-SLICE_BYTES, CALL_BYTES = 4 << 20, 1 << 14
+SLICE_BYTES, CALL_BYTES = 2 << 20, 1 << 14
 #: The tokenizer's pieces of a lower-cased word; words that C++ lower-cases just as it does; and marks
 #: that make one piece after letters.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -44,11 +44,11 @@ class WordCodec:
     """Whole-text ids of a tokenizer that normalises and splits at white space and never across it."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.merges = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path)
         # For pieces that are cut and lower-cased already: the same merges alone.
-        self.merges.normalizer = normalizers.Sequence([])
+        self.merges = Tokenizer(self.tokenizer.model)
         self.merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.CharDelimiterSplit(" "), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.cache = TwoGenerations(CACHED_PIECES)
         self.final = np.zeros(self.tokenizer.get_vocab_size(), bool)
