@@ -10,8 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, settle, slices
-from .components import components
+from .common import Sieve, id_text, release, settle, slices
+from .components import Forest, components
 
 SEED = 42
 #: Fingerprints that one side of a tile comparison holds, about.
@@ -20,8 +20,13 @@ TILE = 8192
 CELLS = 1 << 19
 #: Shingles whose bits are counted at a time.
 VOTES = 1 << 15
-#: Shingle sets that one side of an exact comparison holds, about.
-SETS = 512
+#: Shingle sets, and shingles, that an exact comparison holds at a time, about; sets of a larger group
+#: that meet all of it first.
+SETS, SET_SHINGLES, PIVOTS = 1024, 1 << 20, 8
+#: Bands that propose near copies, and the least hashes in each: the least of a set under a hash
+#: function is that of another with their similarity as probability. At 0.8 all bands miss with
+#: (1 - 0.8 ** 4) ** 24 = 3e-6, at 0.3 a pair shares a band with 0.18, at 0.1 with 0.002.
+BANDS, LEAST = 24, 4
 #: Similarity from which texts are near copies, as a fraction of integers.
 ALIKE = (4, 5)
 #: Bits, of 64 and of 256, within which texts are proposed as near copies. At a similarity of 0.8 a bit
@@ -81,23 +86,43 @@ def text_mark(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def band_keys(sets: list[np.ndarray]) -> np.ndarray:
+    """BANDS keys (signed longs) of each set of hashes, one row a set: mixes of LEAST least hashes each.
+    Sets that are empty have zeros."""
+    size = np.array([len(x) for x in sets], np.int64)
+    out = np.zeros((len(sets), BANDS), np.uint64)
+    some = np.flatnonzero(size)
+    if len(some):
+        data = np.concatenate([sets[i] for i in some.tolist()]).astype(np.uint64)
+        starts = np.cumsum(size[some]) - size[some]
+        for band in range(BANDS):
+            key = np.full(len(some), band, np.uint64)
+            for k in range(LEAST):
+                add, times = (int(_mixed(np.array([2 * (band * LEAST + k) + x], np.uint64), 1)[0]) | 1 for x in (0, 1))
+                key = _mixed(key ^ np.minimum.reduceat((data ^ np.uint64(add)) * np.uint64(times), starts), 1)
+            out[some, band] = key
+    return out.view(np.int64)
+
+
 def set_prints(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, mark (text_mark), f0 to f3 (majority of the different shingles, each with one vote)
-    and d0, d1 (XXH3 of the set of shingles), as signed longs, of every whole text."""
-    names = ["mark", "f0", "f1", "f2", "f3", "d0", "d1"]
+    """doc_id, mark (text_mark), f0 to f3 (majority of the different shingles, each with one vote),
+    d0, d1 (XXH3 of the set of shingles), size (of that set) and bands (band_keys), of every whole text."""
+    names = ["mark", "f0", "f1", "f2", "f3", "d0", "d1", "size"]
 
     def run(batches):
         for batch in batches:
             for doc_ids, texts in slices(batch):
+                sets = [distinct_hashes(t, words) for t in texts]
                 rows = []
-                for t in texts:
-                    found = distinct_hashes(t, words)
+                for t, found in zip(texts, sets, strict=True):
                     d = xxhash.xxh3_128_intdigest(found.astype("<u8").tobytes())
-                    rows.append([_signed(int(x)) for x in (xxhash.xxh64_intdigest(t, SEED), *majority(found, 4), d >> 64, d & (2**64 - 1))])
+                    rows.append([_signed(int(x)) for x in (xxhash.xxh64_intdigest(t, SEED), *majority(found, 4), d >> 64, d & (2**64 - 1), len(found))])
                 columns = np.array(rows, np.int64).reshape(-1, len(names)).T
-                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), *[pa.array(np.ascontiguousarray(c)) for c in columns]], names=["doc_id", *names])
+                bands = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * BANDS, pa.array(band_keys(sets).ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), *[pa.array(np.ascontiguousarray(c)) for c in columns], bands], names=["doc_id", *names, "bands"])
+        release()
 
-    return id_text(docs, binary=True).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    return id_text(docs, binary=True).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names) + ", bands array<long>")
 
 
 def fingerprints(docs: DataFrame, words: int = 3, copies: int = 1) -> DataFrame:
@@ -114,29 +139,6 @@ def fingerprints(docs: DataFrame, words: int = 3, copies: int = 1) -> DataFrame:
     return id_text(docs, binary=True).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
 
 
-class _Forest:
-    """Union-find over the nodes of one comparison, fed with arrays of links."""
-
-    def __init__(self, n: int):
-        self.root = np.arange(n)
-
-    def add(self, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
-        """Unite i with j; the links that were needed for it."""
-        used, root = [], self.root
-        while True:
-            a, b = root[i], root[j]
-            apart = a != b
-            if not apart.any():
-                return used
-            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-            high, low = np.maximum(a, b), np.minimum(a, b)
-            _, at = np.unique(high, return_index=True)  # one link for each upper root
-            used.extend(zip(i[at].tolist(), j[at].tolist(), strict=True))
-            root[high[at]] = low[at]
-            while not np.array_equal(root, root[root]):
-                root[:] = root[root]
-
-
 def _compare(values: np.ndarray, side: np.ndarray, radius: int, wide: int | None) -> list[tuple[int, int]]:
     """Links that join all fingerprints of a tile pair (rows: fingerprint words) within the radius.
 
@@ -149,21 +151,30 @@ def _compare(values: np.ndarray, side: np.ndarray, radius: int, wide: int | None
     left, right = left[np.argsort(weight[left], kind="stable")], right[np.argsort(weight[right], kind="stable")]
     if not len(left) or not len(right):
         return []
-    forest, links = _Forest(len(values)), []
-    block = max(1, CELLS // len(right))
-    weights = weight[right]
-    for at in range(0, len(left), block):
-        rows = left[at : at + block]
-        a, b = np.searchsorted(weights, weight[rows[0]] - radius, "left"), np.searchsorted(weights, weight[rows[-1]] + radius, "right")
-        near = np.bitwise_count(first[rows][:, None] ^ first[right[a:b]][None, :]) <= radius
-        i, j = np.nonzero(near)
-        i, j = rows[i], right[a:b][j]
-        keep = i != j if side.any() else i < j
-        i, j = i[keep], j[keep]
-        if wide is not None:
-            far = np.bitwise_count(values[i] ^ values[j]).sum(axis=1, dtype=np.int64) <= wide
-            i, j = i[far], j[far]
-        links += forest.add(i, j)
+    forest, links = Forest(len(values)), []
+
+    def meet(rows: np.ndarray, others: np.ndarray) -> None:
+        block = max(1, CELLS // len(others))
+        weights = weight[others]
+        for at in range(0, len(rows), block):
+            some = rows[at : at + block]
+            a, b = np.searchsorted(weights, weight[some[0]] - radius, "left"), np.searchsorted(weights, weight[some[-1]] + radius, "right")
+            i, j = np.nonzero(np.bitwise_count(first[some][:, None] ^ first[others[a:b]][None, :]) <= radius)
+            i, j = some[i], others[a:b][j]
+            keep = (i != j) & (forest.root[i] != forest.root[j])
+            i, j = i[keep], j[keep]
+            if wide is not None:
+                far = np.bitwise_count(values[i] ^ values[j]).sum(axis=1, dtype=np.int64) <= wide
+                i, j = i[far], j[far]
+            links.extend(forest.add(i, j))
+
+    # A few rows meet all. Then a link between two groups has an end outside the largest of them, so
+    # that only the rows outside it need to meet all.
+    meet(left[:: max(1, len(left) // 4)], right)
+    outside = forest.root != np.bincount(forest.root).argmax()
+    meet(left[outside[left]], right)
+    if side.any():
+        meet(right[outside[right]], left)
     return links
 
 
@@ -189,8 +200,9 @@ def links(prints: DataFrame, radius: int, wide: int | None = None, bits: int = 6
 
     prints: node long, f0 ... long, one row for each different fingerprint. For a small radius r,
     two fingerprints within it are equal in 3 of r + 3 blocks of bits at least; tiles then hold
-    fingerprints that share three blocks. For a large one all tiles meet, but for those whose bit
-    counts are too far apart.
+    fingerprints that share three blocks. For a large one tiles hold fingerprints that share one of
+    their `bands` (array of keys), if there is such a column; without, all tiles meet. Tiles whose bit
+    counts are too far apart do not meet.
     """
     names = [c for c in prints.columns if c.startswith("f")]
     weight = F.bit_count("f0")
@@ -202,6 +214,8 @@ def links(prints: DataFrame, radius: int, wide: int | None = None, bits: int = 6
         table = F.explode(F.array(*[F.struct(F.lit(k).alias("t"), F.col("f0").bitwiseAND(F.lit(m)).alias("k")) for k, m in enumerate(signed)]))
         rows = prints.select("*", table.alias("x")).select("node", *names, "x.t", "x.k")
         dealt = _tiles(rows, ["t", "k"], weight, radius, tile)
+    elif "bands" in prints.columns:
+        dealt = _tiles(prints.select("node", *names, F.explode("bands").alias("k")), ["k"], weight, radius, tile)
     else:
         dealt = _tiles(prints, [], weight, radius, tile)
     dealt = dealt.repartition("pair").sortWithinPartitions("pair", "f0")
@@ -265,7 +279,7 @@ def similar_pairs(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     holders, ends = owner[order], np.cumsum(np.bincount(at, minlength=len(values)))
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
     firsts = np.concatenate([[0], np.cumsum(size)])
-    forest, found, met = _Forest(n), [], np.zeros(n, bool)
+    forest, found, met = Forest(n), [], np.zeros(n, bool)
     while True:
         # A link between two groups has an end outside the largest: only those sets need to meet all.
         left = np.flatnonzero(~met & (forest.root != np.bincount(forest.root).argmax()))
@@ -286,21 +300,50 @@ def exact_links(docs: DataFrame, kinds: DataFrame, groups: DataFrame, words: int
     """(u, v) links by the exact similarity of shingle sets, 0.8 or more, that connect all nodes of a
     group which such links connect at all.
 
-    kinds: node, f0 and first (doc_id and mark of one of its texts); groups: node, component, within
-    which links are looked for. Groups over `tile` nodes are cut, and all their tiles meet.
+    kinds: node, size and first (doc_id and mark of one of its texts); groups: node, component, within
+    which links are looked for. Groups over `tile` nodes (or SET_SHINGLES shingles) are dealt to parts;
+    a part is compared with itself and some PIVOTS sets of all parts. A link that is still missing has
+    an end outside the largest class of its group: the sets outside it then meet all of the group.
     """
-    light = settle(kinds.join(groups, "node").select("component", "node", "f0", F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark")))
-    whole = id_text(docs).withColumn("_own", text_mark(F.col("text")))
-    texts = whole.join(light, (whole["doc_id"] == light["_id"]) & (whole["_own"] == light["_mark"])).dropDuplicates(["_id", "_mark", "node"])
+    light = settle(kinds.join(groups, "node").select("component", "node", "size", F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark")))
+    sieve = Sieve.of(light, "_mark")
 
     def shingled(batches):
         for batch in batches:
-            for nodes, found in slices(batch):
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([distinct_hashes(t, words).tobytes() for t in found], pa.binary())], names=["node", "hashes"])
-
-    sets = texts.select(F.col("node").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(shingled, "node long, hashes binary")
-    dealt = _tiles(light.select("component", "node", "f0"), ["component"], F.bit_count("f0"), NARROW, tile).select("node", "pair")
-    dealt = dealt.join(sets, "node").repartition("pair").sortWithinPartitions("pair")
+            for ids, found in slices(batch):
+                marks = np.array([xxhash.xxh64_intdigest(t, SEED) for t in found], np.uint64).view(np.int64)
+                some = np.flatnonzero(sieve.passes(marks))
+                yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in some.tolist()], pa.int64()), pa.array(marks[some]), pa.array([distinct_hashes(found[i], words).tobytes() for i in some.tolist()], pa.binary())], names=["own_id", "own_mark", "hashes"])
+        release()
+
+    whole = id_text(docs, binary=True).mapInArrow(shingled, "own_id long, own_mark long, hashes binary")
+    sets = whole.join(light, (whole["own_id"] == light["_id"]) & (whole["own_mark"] == light["_mark"])).groupBy("node").agg(F.first("hashes").alias("hashes"))
+    n, held = F.count("*"), F.sum("size")
+    sizes = light.groupBy("component").agg(n.alias("n"), F.ceil(F.greatest(n / tile, held / SET_SHINGLES)).cast("int").alias("parts"))
+    large = settle(sizes.filter("parts > 1"))
+    if not large.head(1):
+        return _similar(light.select("node", F.xxhash64("component").alias("pair")), sets)
+    sets = settle(sets)
+    at = light.select("component", "node").join(large, "component", "left")
+    at = settle(at.select("component", "node", F.coalesce("n", F.lit(1)).alias("n"), F.coalesce("parts", F.lit(1)).alias("parts"), F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1))).cast("int").alias("part")))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    own = at.select("node", F.xxhash64("component", "part").alias("pair"))
+    pivots = at.filter("parts > 1").filter(F.pmod(F.xxhash64("node", F.lit(3)), F.col("n")) < PIVOTS).select("node", "component", "part", every.alias("other")).filter("other <> part")
+    found = settle(_similar(own.union(pivots.select("node", F.xxhash64("component", "other"))), sets))
+    big = at.filter("parts > 1")
+    classes = components(found)
+    classed = big.join(classes.withColumnRenamed("component", "class"), "node", "left").withColumn("class", F.coalesce("class", "node"))
+    largest = classed.groupBy("component", "class").agg(F.count("*").alias("m")).groupBy("component").agg(F.max_by("class", F.struct("m", "class")).alias("most"))
+    outside = settle(classed.join(largest, "component").filter(F.col("class") != F.col("most")).select("component", "node", "parts"))
+    cuts = outside.groupBy("component").agg(F.ceil(F.count("*") / tile).cast("int").alias("cuts"))
+    few = outside.join(cuts, "component").select("component", "node", F.pmod(F.xxhash64("node", F.lit(5)), "cuts").cast("int").alias("cut"), every.alias("part"))
+    all_ = big.join(cuts, "component").select("component", "node", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"), "part")
+    again = few.select("component", "node", "cut", "part").union(all_.select("component", "node", "cut", "part")).distinct()
+    return found.union(_similar(again.select("node", F.xxhash64("component", "cut", "part").alias("pair")), sets))
+
+
+def _similar(dealt: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v) links of similar_pairs() within each pair of dealt (node, pair); sets: node, hashes."""
 
     def run(batches):
         pair, nodes, held = None, [], []
@@ -318,8 +361,9 @@ def exact_links(docs: DataFrame, kinds: DataFrame, groups: DataFrame, words: int
                 nodes.append(node.as_py())
                 held.append(np.frombuffer(hashes.as_py(), np.uint64))
         yield compare()
+        release()
 
-    return dealt.mapInArrow(run, "u long, v long")
+    return dealt.join(sets, "node").repartition("pair").sortWithinPartitions("pair").mapInArrow(run, "u long, v long")
 
 
 def similar_classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
@@ -328,9 +372,9 @@ def similar_classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     names = [f"f{k}" for k in range(4)]
     prints = settle(set_prints(docs, words))
     named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))
-    kinds = prints.groupBy(*names, "d0", "d1").agg(F.min(named).alias("first")).filter("first is not null")
+    kinds = prints.groupBy(*names, "d0", "d1").agg(F.min(named).alias("first"), F.max("size").alias("size"), F.max("bands").alias("bands")).filter("first is not null")
     kinds = settle(kinds.withColumn("node", F.monotonically_increasing_id()))
-    proposed = components(links(kinds.select("node", *names), NARROW, WIDE))
+    proposed = components(links(kinds.filter("size > 0").select("node", *names, "bands"), NARROW, WIDE))
     classes = components(exact_links(docs, kinds, proposed, words))
     return prints, kinds.join(classes, "node", "left").select(*names, "d0", "d1", "first", F.coalesce("component", "node").alias("class"))
 
@@ -340,10 +384,12 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, similar: b
 
     similar=False: fingerprints link at `radius` differing bits or fewer. similar=True: texts link
     at a similarity of 0.8 or more of their sets of shingles, compared exactly where the fingerprints
-    (one vote for each different shingle) are within NARROW of 64 bits and WIDE of 256. A null or
+    (one vote for each different shingle) are within NARROW of 64 bits and WIDE of 256 and one of
+    BANDS bands of least hashes is shared. A null or
     empty text has fingerprint zero and links like any other. Documents of equal fingerprints (equal
     sets, if similar) are compared once. A null doc_id names no class: such a row gets the class of
-    its fingerprint, null if no other row has it. Repeated rows stay; an empty table gives none.
+    its fingerprint, null if no other row has it. Repeated rows stay; a text of any length gives all
+    its shingles; an empty table gives no rows.
     """
     if similar:
         prints, kinds = similar_classes(docs, words)
