@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -18,7 +19,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from stratavox.llm import bpe, chat, fingerprints, licenses, lines, packing, quality, simhash, suffixes, toxicity
+from stratavox.llm import bpe, chat, components, fingerprints, licenses, lines, packing, quality, simhash, suffixes, toxicity
 
 RANKS, WORDS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("word_bpe_49k.json")
 #: Clashing names: those that the operators use inside.
@@ -84,7 +85,6 @@ def test_byte_bpe(docs, rows, empty):
 
 def test_packing(docs, rows, empty):
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     wanted = []
     for i, text in rows:
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 0]
@@ -101,6 +101,17 @@ def test_packing(docs, rows, empty):
     assert packing.pack(empty, WORDS).count() == 0
 
 
+def test_words_like_the_tokenizer():
+    """Added tokens anywhere, control characters, all Latin letters, other scripts, and a text of 600,000 characters."""
+    t, codec, r = Tokenizer.from_file(WORDS), packing.word_codec(WORDS), random.Random(7)
+    parts = ["a", "B", "é", "İ", "ß", "\u0301", "\x1c", "\x85", " ", " ", " ", "\n", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", "'s", "'LL", "12", "½", "中文", "ﬁ", "!!", "don't", "Ω", "K", "\u3000", "...", '"', *map(chr, range(0x21, 0x260))]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(40))) for _ in range(4000)]
+    texts += ["", " ", "a <|endoftext|> b", "in<|endoftext|>side", "".join(r.choice(parts) for _ in range(300_000))]
+    got = codec.encode_batch(pa.array(texts, pa.string()))
+    assert got == [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert len(codec.encode_batch(pa.array(["a <|endoftext|> b"]))[0]) == 12
+
+
 def test_packing_plans():
     r = random.Random(1)
     for _ in range(200):
@@ -139,12 +150,64 @@ def test_fingerprints(docs, rows, empty, spark):
     assert fingerprints.edited_fingerprints(empty).count() == 0
     one = fingerprints.edited_fingerprints(spark.createDataFrame([(5, "a b c d e f g h")], "doc_id long, text string")).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1
-    a, b, both = "a b c d e f g", "e f g h i", "a b c d e f g h i"
-    frame = spark.createDataFrame([(a, b, both)], "a string, b string, c string")
-    for c in "abc":
+
+
+def plain_sketches(spark, texts: list[str]) -> list[set[int]]:
+    """All hashes of 5-word shingles, each from Spark's hash of a literal row, below a quarter of 2^64."""
+    parts = [(w := [x for x in re.split("[\x20\x09-\x0d]+", t.lower()) if x], [tuple(w[k : k + 5]) for k in range(len(w) - 4)] if len(w) >= 5 else [(" ".join(w),)] if w else [])[1] for t in texts]
+    five = sorted({p for own in parts for p in own if len(p) == 5})
+    less = sorted({p for own in parts for p in own if len(p) == 1})
+    hashed = dict(zip(five, (r[0] for r in spark.createDataFrame(five, "a string, b string, c string, d string, e string").select(F.xxhash64("*")).collect()), strict=True))
+    hashed |= dict(zip(less, (r[0] for r in spark.createDataFrame(less, "a string").select(F.xxhash64("a")).collect()), strict=True))
+    return [{hashed[p] for p in own if 0 <= hashed[p] < 2**62} for own in parts]
+
+
+def test_fingerprint_values(docs, rows, spark):
+    """Sketches, likenesses and containments against brute force over every shingle."""
+    order = sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1] or ""))
+    texts = [t or "" for _, t in order]
+    nexts = texts[1:] + texts[:1]
+    edited = [t[: len(t) - len(t) // 4] + n[: len(t) // 4] for t, n in zip(texts, nexts, strict=True)]
+    sketches = plain_sketches(spark, texts + edited)
+    own, changed = sketches[: len(texts)], sketches[len(texts) :]
+    shown = lambda s: "".join(f"{h:016x}" for h in sorted(s))
+    gap = lambda t: re.split("[\x20\x09-\x0d]+", t.lower().strip(" \t\n\v\f\r"))
+    like = lambda a, b, t, u: len(a & b) / len(a | b) if a | b else float(gap(t) == gap(u))
+    part = lambda a, b: len(a & b) / len(a) if a else 1.0
+    wanted = []
+    for k, (i, t) in enumerate(zip([i for i, _ in order], texts, strict=True)):
+        a, e, n = own[k], changed[k], own[(k + 1) % len(own)]
+        wanted.append((i, shown(a), shown(e), like(a, e, t, edited[k]), like(a, n, t, nexts[k]), part(a, e), part(a, n)))
+    got = fingerprints.edited_fingerprints(docs).select("doc_id", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "contained_edited", "contained_next").collect()
+    same([tuple(r) for r in got], wanted)
+    assert any(not x and t for x, t in zip(own, texts, strict=True))
+
+
+def test_merged_sketches_are_sketches_of_the_union(spark):
+    pairs = [(words(3 + k % 4, 20 + k), words(60 + k, 40 + k)) for k in range(30)]
+    frame = spark.createDataFrame(pairs, "a string, b string")
+    for c in "ab":
         frame = frame.withColumn(c, fingerprints.words_of(F.col(c))).withColumn(c, fingerprints.hashes_of(c))
-    merged = frame.select(fingerprints.merged(F.col("a"), F.col("b")).alias("m"), "c").first()
-    assert set(merged["m"]) <= set(merged["c"])
+    frame = frame.withColumn("both", F.concat("a", "b"))
+    for r in frame.select(fingerprints.merged(fingerprints.sketch_of("a"), fingerprints.sketch_of("b")).alias("m"), fingerprints.sketch_of("both").alias("s")).collect():
+        assert r["m"] == r["s"]
+
+
+def test_fingerprint_likeness_is_near_the_truth(spark):
+    """On texts of 300 words, the likeness is within 0.1 of the Jaccard likeness of all shingles, on average 0.03."""
+    r, pairs = random.Random(12), []
+    for k in range(120):
+        a = words(300, 6000 + k).split()
+        b = [w if r.random() > k / 1000 else f"new{i}" for i, w in enumerate(a)]
+        pairs.append((a, b))
+    grams = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    truth = [len(grams(a) & grams(b)) / len(grams(a) | grams(b)) for a, b in pairs]
+    frame = spark.createDataFrame([(k, " ".join(a), " ".join(b)) for k, (a, b) in enumerate(pairs)], "k int, a string, b string")
+    for c in "ab":
+        frame = frame.withColumn(c, fingerprints.words_of(F.col(c))).withColumn(c, fingerprints.hashes_of(c)).withColumn(c, fingerprints.sketch_of(c))
+    found = [x["n"] for x in frame.orderBy("k").select(fingerprints.likeness("a", "b", F.lit(False)).alias("n")).collect()]
+    off = [abs(x - y) for x, y in zip(found, truth, strict=True)]
+    assert sum(off) / len(off) < 0.035 and sorted(off)[int(0.95 * len(off))] < 0.1
 
 
 def repeated(rows):
@@ -180,7 +243,12 @@ def key(line: str) -> bytes:
     return line.encode().strip(b" \t\n\v\f\r").lower()
 
 
-def test_lines(docs, rows, empty):
+@pytest.mark.parametrize("small", [True, False])
+def test_lines(docs, rows, empty, monkeypatch, small):
+    if not small:  # the filters go to tasks by shard, heavy shards to several
+        monkeypatch.setattr(lines, "FILTER_BYTES", 0)
+        monkeypatch.setattr(lines, "SHARD_ROWS", 10)
+        monkeypatch.setattr(lines, "SHARD_KEYS", 1)
     texts = [(i, t or "") for i, t in rows]
     count = Counter(k for _, t in texts for k in set(map(key, t.split("\n"))) if k)
     wanted = []
@@ -250,6 +318,26 @@ def test_simhash(docs, rows, empty):
     assert 6 in kept and 7 not in kept and 8 in kept and 9 not in kept and {10, 11, 12, 13} <= kept
 
 
+@pytest.mark.parametrize("few", [0, components.FEW])
+def test_components(spark, few):
+    r = random.Random(4)
+    near = [(r.randrange(300), r.randrange(300)) for _ in range(180)] + [(k, k + 1) for k in range(400, 460)] + [(500, k) for k in range(501, 540)] + [(7, 7)]
+    found = components.components(spark.createDataFrame([*near, *near[:20], (None, 3)], "u long, v long"), few).collect()
+    linked = {x for e in near if e[0] != e[1] for x in e}
+    assert {r["node"]: r["component"] for r in found} == classes(linked, [e for e in near if e[0] != e[1]]) and len(found) == len(linked)
+    assert components.components(spark.createDataFrame([], "u long, v long"), few).count() == 0
+
+
+def test_bucket_pointers():
+    r = np.random.default_rng(3)
+    for size, letters in ((0, 2), (199, 2), (200, 1), (700, 1), (3000, 2), (5000, 200)):
+        data = r.integers(0, letters, size).astype(np.uint8)
+        data[size // 2 : size // 2 + 300] = data[:300][: len(data[size // 2 : size // 2 + 300])]
+        found = suffixes.refined_buckets(data).tolist()
+        windows = [data[i : i + 200].tobytes() for i in range(max(0, size - 199))]
+        assert len(found) == len(windows) and len(set(zip(found, windows, strict=True))) == len(set(windows)) == len(set(found))
+
+
 @pytest.mark.parametrize("tile", [8, simhash.TILE])
 def test_links_in_tiles(spark, tile):
     r = random.Random(2)
@@ -303,24 +391,68 @@ def test_licenses(docs, rows, empty):
 CHAT = "conv_id long, turn int, role string, text string, block string, part string, cut string"
 
 
-def test_chat(spark):
-    rows = [(c, t, ("system", "user", "assistant")[0 if t == 0 and c % 4 == 0 else 1 + t % 2], words(10 + t, c * 100 + t) + ("?" if t % 2 == 0 else ""), "b", "p", "c") for c in range(40) for t in range(8)]
-    got = chat.format_conversations(spark.createDataFrame(rows, CHAT)).collect()
-    assert len(got) == len(rows) and sum(r["agrees"] for r in got) >= 0.98 * len(rows)
-    text = {(c, t): x for c, t, _, x, *_ in rows}
-    for r in got:
-        assert r["rendered_sha256"] == sha(chat.render(r["role"], text[r["conv_id"], r["turn"]]).encode())
-    odd = [(None, None, None, None, "", "", ""), (1, 0, "user", "", "", "", ""), (1, 0, "user", "", "", "", ""), (1, 0, "user", "x" * 100_000, "", "", ""), (1, 200, "nobody", "a\n\nb", "", "", "")] + [(2, 3, "user", f"t{k}", "", "", "") for k in range(1200)]
-    assert chat.format_conversations(spark.createDataFrame(odd, CHAT)).filter("part > 0").count() > 0
-    assert chat.format_conversations(spark.createDataFrame([], CHAT)).count() == 0
+def plain_viterbi(model, scores) -> list[int]:
+    best, back = [int(model.start[s] + scores[0, s]) for s in range(6)], []
+    for e in scores[1:].tolist():
+        from_ = [max(range(6), key=lambda a, b=b: best[a] + int(model.step[a, b])) for b in range(6)]
+        back.append(from_)
+        best = [best[from_[b]] + int(model.step[from_[b], b]) + e[b] for b in range(6)]
+    path = [max(range(6), key=lambda s: best[s])]
+    for from_ in back[::-1]:
+        path.append(from_[path[-1]])
+    return path[::-1]
+
+
+def plain_turns(model, conv, rows) -> list[tuple]:
+    """(row, turn, role, rendered, rows that begin in it) of the turns that one uncut path gives."""
+    t = chat.Transcript.of(conv, [{"turn": n, "role": r, "text": x} for n, r, x in rows])
+    out, before = [], None
+    for i, (line, state) in enumerate(zip(t.lines, plain_viterbi(model, model.scores(t)), strict=True)):
+        role = chat.ROLES[state // 2]
+        if state % 2 == 0 or role != before:
+            out.append([int(t.rows[i]), rows[t.rows[i]][0], role, [chat.mark(line)[1]], 0])
+        else:
+            out[-1][3].append(line)
+        out[-1][4] += int(i == 0 or t.rows[i] != t.rows[i - 1])
+        before = role
+    return [(row, turn, role, f"<|{role}|>\n" + "\n".join(x).strip(" \t\n\x0b\f\r") + "\n<|end|>\n", n) for row, turn, role, x, n in out]
 
 
-def test_viterbi_against_all_paths():
-    r = np.random.default_rng(4)
-    model = chat.RoleModel.of(r.random(6), r.random((6, 6)), r.random((6, chat.SHAPES)))
-    shape = r.integers(0, chat.SHAPES, 5).tolist()
-    best = max(np.ndindex(*[6] * 5), key=lambda p: model.start[p[0]] + sum(model.emit[s, x] for s, x in zip(p, shape, strict=True)) + sum(model.step[a, b] for a, b in zip(p, p[1:], strict=False)))
-    assert model.viterbi(shape) == list(best)
+@pytest.fixture(scope="module")
+def talks():
+    r = random.Random(8)
+    text = lambda c, t: words(r.randint(3, 14), c * 100_003 + t) + ("?" if t % 2 == 0 else "") + ("\n\n" + words(5, t) if r.random() < 0.2 else "")
+    rows = [(c, t, ("system", "user", "assistant")[0 if t == 0 and c % 4 == 0 else 1 + t % 2], text(c, t)) for c in range(60) for t in range(8)]
+    rows += [(1000, t, ("user", "assistant")[t % 2], text(1000, t)) for t in range(10_000)]
+    return rows + [(1001, t, None if t % 3 else "user", "x\n" * (30_000 if t == 2 else 1)) for t in range(40)]
+
+
+@pytest.mark.parametrize("block_rows", [97, chat.BLOCK_ROWS])
+def test_chat_is_one_path(spark, talks, block_rows):
+    df = spark.createDataFrame([(*x, "b", "p", "c") for x in talks], CHAT).repartition(3)
+    models = chat.fit(chat.blocks_of(df, block_rows))
+    wanted = defaultdict(list)
+    for c, *x in talks:
+        wanted[c].append(tuple(x))
+    wanted = {c: plain_turns(models[chat.fold_of(c)], c, x) for c, x in wanted.items()}
+    got = chat.format_conversations(df, block_rows).collect()
+    same([(r["conv_id"], r["row"], r["turn"], r["role"], r["rendered"], r["n_rows"]) for r in got], [(c, *x) for c, rows in wanted.items() for x in rows])
+    assert any(x[4] > 1 for x in wanted[1001])
+    known = [r for r in got if r["conv_id"] != 1001]
+    assert sum(r["n_agree"] for r in known) > 0.95 * 10_480
+
+
+def test_chat_models_do_not_depend_on_blocks(spark, talks):
+    df = spark.createDataFrame([(*x, "b", "p", "c") for x in talks], CHAT)
+    for a, b in zip(chat.fit(chat.blocks_of(df.repartition(5), 7)), chat.fit(chat.blocks_of(df.coalesce(1), 1000)), strict=True):
+        assert all(np.array_equal(getattr(a, x), getattr(b, x)) for x in ("start", "step", "emit"))
+
+
+def test_chat_odd_rows(spark):
+    odd = [(None, None, None, None, "", "", ""), (1, 0, "user", "", "", "", ""), (1, 0, "user", "", "", "", ""), (1, 200, "nobody", "a\n\nb", "", "", "")] + [(2, 3, "user", f"t{k}", "", "", "") for k in range(1200)]
+    got = chat.format_conversations(spark.createDataFrame(odd, CHAT)).collect()
+    assert sum(r["n_rows"] for r in got) == len(odd) and {r["conv_id"] for r in got} == {None, 1, 2}
+    assert chat.format_conversations(spark.createDataFrame([], CHAT)).count() == 0
 
 
 def test_toxicity(spark, docs, empty):

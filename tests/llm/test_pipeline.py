@@ -66,7 +66,6 @@ def test_stages(spark, folder, tmp_path):
     assert final == {i: kept.decode("utf-8", "ignore") for i, _, _, _, kept in repeated(single.items())}
     assert sum(map(len, final.values())) < sum(map(len, single.values()))
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     tokens = Counter()
     for r in docs.collect():
         tokens[r["doc_id"]] += r["length"]
@@ -126,9 +125,9 @@ def test_exact_links_in_tiles(spark):
         texts.append(" ".join(base))
     texts += [words(300, 900 + k) for k in range(5)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    kinds = docs.select(F.col("doc_id").alias("node"), F.xxhash64("text", F.lit(1)).alias("f0"), F.struct("doc_id", simhash.text_mark(F.col("text")).alias("mark")).alias("first"))
+    kinds = docs.select(F.col("doc_id").alias("node"), F.xxhash64("text", F.lit(1)).alias("f0"), F.struct("doc_id", simhash.text_mark(F.col("text")).alias("mark")).alias("first"), F.lit(296).alias("size"))
     groups = docs.select(F.col("doc_id").alias("node"), F.lit(0).cast("long").alias("component"))
-    for tile in (6, simhash.SETS):
+    for tile in (3, 6, simhash.SETS):
         found = [(r["u"], r["v"]) for r in simhash.exact_links(docs, kinds, groups, 5, tile).collect()]
         prints = [shingles(t) for t in texts]
         assert all(len(prints[u] & prints[v]) >= 0.8 * len(prints[u] | prints[v]) for u, v in found)
