@@ -34,8 +34,9 @@ def tagged(path: Column, tag: str) -> Column:
 
 def parse(files: DataFrame, name: str = "name") -> DataFrame:
     """files and the fields of their names; an absent field is null."""
-    found = lambda pattern: F.regexp_extract(name, pattern, 1)
-    return files.select("*", F.regexp_extract(name, "^([^_]*)_", 1).alias("dataset"), *[F.when(found(p) != "", found(p).cast(t)).alias(c) for c, (p, t) in FIELDS.items()])
+    # '' is no number, so that a number's pattern runs once.
+    found = {c: F.regexp_extract(name, p, 1) for c, (p, _) in FIELDS.items()}
+    return files.select("*", F.regexp_extract(name, "^([^_]*)_", 1).alias("dataset"), *[(F.nullif(found[c], F.lit("")) if t == "string" else found[c].try_cast(t)).alias(c) for c, (_, t) in FIELDS.items()])
 
 
 def raw_files(files: DataFrame, prefix: str, name: str = "name") -> DataFrame:
@@ -69,6 +70,27 @@ def bdv_name(tiled: DataFrame, cameras: bool = False, tag: str = "") -> DataFram
     return tiled.withColumn("bdv_name", F.concat(F.lit("scan_ch"), channel, F.lit("_tile"), F.col("tile").cast("string"), F.lit("_t"), time, F.lit(tag + ".tif")))
 
 
+def highest_channel(parsed: DataFrame, camera: str = "A", by: str = "dir") -> DataFrame:
+    """(by, channel): the highest channel number of a camera's files, null without any."""
+    return parsed.groupBy(by).agg(F.max(F.when(F.col("camera") == camera, F.col("channel"))).alias("channel"))
+
+
+def rename_map(named: DataFrame, by: str = "dir") -> DataFrame:
+    """(dir, name, bdv_name): old and new names, for a table that is kept beside the files; new names
+    that two files of a directory would get are an error of the caller's: see name_clashes()."""
+    return named.select(by, "name", "bdv_name")
+
+
+def name_clashes(named: DataFrame, by: str = "dir") -> DataFrame:
+    """(dir, bdv_name, n): new names that several files would get."""
+    return named.groupBy(by, "bdv_name").agg(F.count("*").alias("n")).filter("n > 1")
+
+
+def original_of(files: DataFrame, name: str = "name") -> DataFrame:
+    """files with `original`: a processed file's name cut behind its time field, as the raw file had it."""
+    return files.withColumn("original", F.concat(F.regexp_extract(name, r"^(.*?_\d+t)", 1), F.lit(".tif")))
+
+
 def channel_order(parsed: DataFrame, dir: str = "dir") -> DataFrame:
     """(dir, channel, camera, order): channels by number and camera, numbered from 0."""
     order = Window.partitionBy(dir).orderBy("channel", "camera")

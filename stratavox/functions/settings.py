@@ -22,7 +22,7 @@ def read_settings(spark: SparkSession, path: str) -> DataFrame:
 def field(text: Column | str, pattern: str, kind: str = "string") -> Column:
     """The first group of a pattern, trimmed and cast; null without a match."""
     found = F.trim(F.regexp_extract(text, pattern, 1))
-    return F.when(found != "", found.cast(kind))
+    return F.nullif(found, F.lit("")) if kind == "string" else found.try_cast(kind)
 
 
 def sections(documents: DataFrame) -> DataFrame:
@@ -62,9 +62,9 @@ def devices(documents: DataFrame, instrument: str = "llsm") -> DataFrame:
         "dir",
         device.alias("device"),
         F.regexp_extract("line", r"\((\d+)\)\s*:", 1).cast("int").alias("ch"),
-        F.get(cells, F.lit(0)).cast("double").alias("offset"),
-        F.get(cells, F.lit(1)).cast("double").alias("interval"),
-        F.get(cells, F.lit(2)).cast("int").alias("n_pixels"),
+        F.get(cells, F.lit(0)).try_cast("double").alias("offset"),
+        F.get(cells, F.lit(1)).try_cast("double").alias("interval"),
+        F.get(cells, F.lit(2)).try_cast("int").alias("n_pixels"),
     )
 
 
@@ -74,11 +74,11 @@ def lasers(documents: DataFrame) -> DataFrame:
     pattern = r"(?m)^Excitation Filter, Laser[^\t\r\n]*\(\d+\)\s*:\t[^\r\n]*"
     at = documents.select("dir", F.posexplode(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).alias("line_no", "line"))
     at = at.select("dir", "line_no", F.regexp_extract("line", r"\((\d+)\)\s*:", 1).cast("int").alias("ch"), F.split(F.regexp_extract("line", r":\t(.*)$", 1), "\t").alias("c"))
-    one = lambda k, laser, power: F.struct(F.lit(k).alias("k"), F.get("c", F.lit(laser)).alias("laser"), F.get("c", F.lit(power)).cast("double").alias("power"))
+    one = lambda k, laser, power: F.struct(F.lit(k).alias("k"), F.get("c", F.lit(laser)).alias("laser"), F.get("c", F.lit(power)).try_cast("double").alias("power"))
     more = F.array(one(0, 1, 2), one(1, 4, 5), one(2, 6, 7))
-    at = at.select("dir", "line_no", "ch", F.get("c", F.lit(0)).alias("filter"), F.get("c", F.lit(3)).cast("double").alias("exp"), F.explode(more).alias("x"))
+    at = at.select("dir", "line_no", "ch", F.get("c", F.lit(0)).alias("filter"), F.get("c", F.lit(3)).try_cast("double").alias("exp"), F.explode(more).alias("x"))
     on = at.filter(F.col("x.laser").isNotNull() & (F.col("x.laser") != "OFF"))
-    return on.select("dir", (F.col("line_no") * 3 + F.col("x.k")).alias("laser_idx"), "ch", "filter", F.col("x.laser").cast("int").alias("laser"), F.col("x.power").alias("power"), "exp")
+    return on.select("dir", (F.col("line_no") * 3 + F.col("x.k")).alias("laser_idx"), "ch", "filter", F.col("x.laser").try_cast("int").alias("laser"), F.col("x.power").alias("power"), "exp")
 
 
 def steps(files: DataFrame, device: DataFrame, name: str = "x-stage-offset") -> DataFrame:

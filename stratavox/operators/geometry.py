@@ -6,11 +6,31 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratavox.shipping import ship
-from stratavox.types import PLANE, Grid, mapped, voxels
+from stratavox.types import PLANE, Grid, mapped, pages_of, voxels
+
+
+def paged(planes: DataFrame, f, argument: Column | float = 0.0, height: Column | str = "height", width: Column | str = "width") -> DataFrame:
+    """f(page, argument) -> array for each page, in numpy, where the page is: no shuffle. argument is a
+    column over the plane; a plane without pixels stays one."""
+    ship(planes.sparkSession)
+    h, w = (F.col(x) if isinstance(x, str) else x for x in (height, width))
+    given = argument if isinstance(argument, Column) else F.lit(float(argument))
+    at = planes.select("image_id", "z", "height", "width", "px", h.cast("int").alias("h"), w.cast("int").alias("w"), given.cast("double").alias("a"))
+
+    def run(batches):
+        for batch in batches:
+            values = batch.column("a").to_numpy(zero_copy_only=False)
+            out: list = [None] * batch.num_rows
+            for i, page in pages_of(batch):
+                out[i] = np.ascontiguousarray(f(page, values[i]), dtype=float).ravel()
+            yield pa.RecordBatch.from_arrays([batch.column("image_id"), batch.column("z"), batch.column("h"), batch.column("w"), pa.array(out, pa.list_(pa.float64()))], names=["image_id", "z", "height", "width", "px"])
+
+    return at.mapInArrow(run, PLANE)
 
 
 def shifted_rows(planes: DataFrame, grid: Grid, offset: Column, nx_out: int, fill: float = 0.0) -> DataFrame:
@@ -19,16 +39,13 @@ def shifted_rows(planes: DataFrame, grid: Grid, offset: Column, nx_out: int, fil
     `fill`. Each page by itself: no shuffle."""
     nx = grid.nx
 
-    def out(px: Column) -> Column:
-        def at(i: Column) -> Column:
-            y, x = F.floor(i / nx_out), F.pmod(i, F.lit(nx_out)) - F.col("_o")
-            f = F.floor(x)
-            pixel = lambda k: F.get(px, (y * nx + F.least(F.greatest(k, F.lit(0)), F.lit(nx - 1))).cast("int"))
-            return F.when((x >= -0.5) & (x < nx - 0.5), pixel(f) * (F.lit(1.0) - (x - f)) + pixel(f + 1) * (x - f)).otherwise(F.lit(float(fill)))
-
-        return F.transform(F.sequence(F.lit(0), F.lit(grid.ny * nx_out - 1)), at)
+    def f(page: np.ndarray, by: float) -> np.ndarray:
+        x = np.arange(nx_out) - by
+        lo = np.floor(x)
+        left, right = (np.clip(k, 0, nx - 1).astype(int) for k in (lo, lo + 1))
+        return np.where((x >= -0.5) & (x < nx - 0.5), page[:, left] * (1.0 - (x - lo)) + page[:, right] * (x - lo), float(fill))
 
-    return mapped(planes.withColumn("_o", offset.cast("double")), out, F.lit(grid.ny), F.lit(nx_out))
+    return paged(planes, f, offset, F.lit(grid.ny), F.lit(nx_out))
 
 
 def deskew_geometry(grid: Grid, angle: float, step: float, xy_res: float) -> tuple[float, Grid]:
@@ -56,19 +73,25 @@ def shear_centred(planes: DataFrame, grid: Grid, angle: float, step: float, xy_r
     return shifted_rows(planes, grid, offset, nx, fill), Grid(nx, grid.ny, grid.nz, grid.sx, grid.sy, grid.sz)
 
 
-def resample_z(planes: DataFrame, grid: Grid, ratio: float, pages: int, first: float = 0.0) -> DataFrame:
-    """Page k of the output lies at k * ratio + first of the input, linearly between two pages; what
-    lies outside is 0. Each page needs its next one only: one window, no self-join."""
+def resample_z(planes: DataFrame, grid: Grid, ratio: float, pages: int, first: float = 0.0, edge: bool = False) -> DataFrame:
+    """Page k of the output lies at k * ratio + first of the input, linearly between two pages. What lies
+    outside is left out; with edge, the last page counts for half a page more, and pages beyond are 0.
+    Each page needs its next one only: one window, no self-join."""
     order = Window.partitionBy("image_id").orderBy("z")
     at = planes.select("*", F.lead("px").over(order).alias("next"))
     lo, hi = F.ceil((F.col("z") - F.lit(first)) / F.lit(ratio)), F.ceil((F.col("z") + 1 - F.lit(first)) / F.lit(ratio)) - 1
-    hi = F.least(hi, F.lit(pages - 1))
+    last = F.col("z") == grid.nz - 1
+    hi = F.least(F.when(last, F.lit(pages - 1)).otherwise(hi) if edge else hi, F.lit(pages - 1))
     lo = F.greatest(lo, F.lit(0))
     at = at.withColumn("k", F.explode(F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))))
     pos = F.col("k") * F.lit(ratio) + F.lit(first)
     w = pos - F.floor(pos)
-    at = at.filter(w.isNotNull() & ((w == 0) | (F.col("z") < grid.nz - 1)))
-    px = F.when(w == 0, F.col("px")).otherwise(F.zip_with("px", "next", lambda a, b: a * (F.lit(1.0) - w) + b * w))
+    mixed = F.zip_with("px", "next", lambda a, b: a * (F.lit(1.0) - w) + b * w)
+    if edge:
+        px = F.when(last & (pos >= grid.nz - 0.5), F.transform("px", lambda v: F.lit(0.0))).when(last | (w == 0), F.col("px")).otherwise(mixed)
+    else:
+        at = at.filter(w.isNotNull() & ((w == 0) | ~last))
+        px = F.when(w == 0, F.col("px")).otherwise(mixed)
     return at.select("image_id", F.col("k").cast("int").alias("z"), "height", "width", px.alias("px"))
 
 
@@ -76,10 +99,30 @@ def resampled_pages(grid: Grid, spacing: float) -> int:
     return int(grid.nz * grid.sz / spacing)
 
 
+def _between(a: np.ndarray, position: np.ndarray, axis: int) -> np.ndarray:
+    """Along one axis at positions from 0 on; half a pixel beyond the end it still counts, then 0."""
+    n = a.shape[axis]
+    lo = np.floor(position).astype(int)
+    w = (position - lo).reshape([-1 if k == axis else 1 for k in range(a.ndim)])
+    inside = (position < n - 0.5).reshape(w.shape)
+    return np.where(inside, np.take(a, np.minimum(lo, n - 1), axis) * (1 - w) + np.take(a, np.minimum(lo + 1, n - 1), axis) * w, 0.0)
+
+
+def resample(planes: DataFrame, grid: Grid, sx: float, sy: float, sz: float) -> tuple[DataFrame, Grid]:
+    """The volume at other distances of its pixels and pages: n * old / new of them, truncated, linearly,
+    from pixel 0 on; beyond the last by half a distance it still counts, then 0. Pages are resampled
+    where they are, then along z if that distance differs."""
+    nx, ny, nz = (int(n * old / new) for n, old, new in ((grid.nx, grid.sx, sx), (grid.ny, grid.sy, sy), (grid.nz, grid.sz, sz)))
+    out = Grid(nx, ny, nz, sx, sy, sz)
+    if (sx, sy) != (grid.sx, grid.sy):
+        y, x = np.arange(ny) * (sy / grid.sy), np.arange(nx) * (sx / grid.sx)
+        planes = paged(planes, lambda page, _: _between(_between(page, y, 0), x, 1), 0.0, F.lit(ny), F.lit(nx))
+    return (planes if sz == grid.sz else resample_z(planes, grid, sz / grid.sz, nz, edge=True)), out
+
+
 def resample_spacing(planes: DataFrame, grid: Grid, sz: float) -> tuple[DataFrame, Grid]:
     """Pages at a spacing of sz instead of the grid's."""
-    n = resampled_pages(grid, sz)
-    return resample_z(planes, grid, sz / grid.sz, n), Grid(grid.nx, grid.ny, n, grid.sx, grid.sy, sz)
+    return resample(planes, grid, grid.sx, grid.sy, sz)
 
 
 def scale_z(planes: DataFrame, grid: Grid, scale: float) -> tuple[DataFrame, Grid]:
@@ -93,30 +136,70 @@ def resize_rows(planes: DataFrame, grid: Grid, ny: int, nx: int) -> DataFrame:
     """Each page linearly on a grid of ny by nx that shares its corner pixels."""
     fy, fx = ((a - 1) / (b - 1) if b > 1 else 0.0 for a, b in ((grid.ny, ny), (grid.nx, nx)))
 
-    def out(px: Column) -> Column:
-        def at(i: Column) -> Column:
-            y, x = F.floor(i / nx) * F.lit(fy), F.pmod(i, F.lit(nx)) * F.lit(fx)
-            y0, x0 = F.floor(y), F.floor(x)
-            pixel = lambda a, b: F.get(px, (F.least(a, F.lit(grid.ny - 1)) * grid.nx + F.least(b, F.lit(grid.nx - 1))).cast("int"))
-            u, w = y - y0, x - x0
-            return (pixel(y0, x0) * (1 - w) + pixel(y0, x0 + 1) * w) * (1 - u) + (pixel(y0 + 1, x0) * (1 - w) + pixel(y0 + 1, x0 + 1) * w) * u
+    def f(page: np.ndarray, _: float) -> np.ndarray:
+        y, x = np.arange(ny) * fy, np.arange(nx) * fx
+        y0, x0 = np.floor(y).astype(int), np.floor(x).astype(int)
+        u, w = (y - y0)[:, None], x - x0
+        at = lambda a, b: page[np.ix_(np.minimum(a, grid.ny - 1), np.minimum(b, grid.nx - 1))]
+        return (at(y0, x0) * (1 - w) + at(y0, x0 + 1) * w) * (1 - u) + (at(y0 + 1, x0) * (1 - w) + at(y0 + 1, x0 + 1) * w) * u
+
+    return paged(planes, f, 0.0, F.lit(ny), F.lit(nx))
+
+
+def resize(planes: DataFrame, grid: Grid, nz: int, ny: int, nx: int) -> tuple[DataFrame, Grid]:
+    """The volume linearly on a grid of nz by ny by nx that shares its corner voxels."""
+    even = planes if (ny, nx) == (grid.ny, grid.nx) else resize_rows(planes, grid, ny, nx)
+    far = lambda a, b, s: s * (a - 1) / (b - 1) if b > 1 else s
+    out = Grid(nx, ny, nz, far(grid.nx, nx, grid.sx), far(grid.ny, ny, grid.sy), far(grid.nz, nz, grid.sz))
+    if nz == grid.nz:
+        return even, out
+    return resample_z(even, grid, (grid.nz - 1) / (nz - 1) if nz > 1 else float(grid.nz), nz, edge=True), out
+
+
+def thumbnail(planes: DataFrame, grid: Grid, scale: float, part: float) -> tuple[DataFrame, Grid]:
+    """The volume over its quantile, on a grid `scale` times coarser that shares its corners, times
+    65536, saturated to 16 bits and rounded half up."""
+    size = [max(1, math.floor(n / scale + 0.5)) for n in (grid.nz, grid.ny, grid.nx)]
+    top = quantile(planes, part).select("image_id", F.col("v").alias("top"))
+    small, out = resize(mapped(planes.join(top, "image_id"), lambda px: F.transform(px, lambda v: v / F.col("top"))), grid, *size)
+    return mapped(small, lambda px: F.transform(px, lambda v: F.least(F.greatest(F.floor(v * 65536 + 0.5), F.lit(0)), F.lit(65535)).cast("double"))), out
+
+
+def _maxima(planes: DataFrame) -> DataFrame:
+    """(image_id, height, width, px): the greatest pixel of all pages at each place. Each batch gives
+    one array for an image, and one task adds an image's arrays up, one at a time."""
+    ship(planes.sparkSession)
+
+    def run(batches):
+        held, size, conv = None, (0, 0), None
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([conv], pa.int64()), *[pa.array([n], pa.int32()) for n in size], pa.array([held.ravel()], pa.list_(pa.float64()))], names=["image_id", "height", "width", "px"])
 
-        return F.transform(F.sequence(F.lit(0), F.lit(ny * nx - 1)), at)
+        for batch in batches:
+            ids = batch.column("image_id").to_pylist()
+            for i, page in pages_of(batch):
+                if held is not None and (ids[i] != conv or size != page.shape):
+                    yield done()
+                    held = None
+                conv, size, held = ids[i], page.shape, page.copy() if held is None else np.maximum(held, page)
+        if held is not None:
+            yield done()
 
-    return mapped(planes, out, F.lit(ny), F.lit(nx))
+    schema = "image_id long, height int, width int, px array<double>"
+    some = planes.select("image_id", "height", "width", "px").mapInArrow(run, schema)
+    return some.repartition("image_id").sortWithinPartitions("image_id").mapInArrow(run, schema)
 
 
 def mip(planes: DataFrame, axis: str) -> DataFrame:
     """Maximum projection along 'x' (rows z, y), 'y' (z, x) or 'z' (y, x): (image_id, a, b, v).
-    Along x and y each page is reduced where it is; along z, pages are combined pixel by pixel."""
-    if axis == "x":
-        rows = F.transform(F.sequence(F.lit(0), F.col("height") - 1), lambda y: F.array_max(F.slice("px", y * F.col("width") + 1, F.col("width"))))
-        return planes.select("image_id", F.col("z").alias("a"), F.posexplode(rows).alias("b", "v"))
-    if axis == "y":
-        columns = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda x: F.array_max(F.transform(F.sequence(F.lit(0), F.col("height") - 1), lambda y: F.get("px", y * F.col("width") + x))))
-        return planes.select("image_id", F.col("z").alias("a"), F.posexplode(columns).alias("b", "v"))
+    Along x and y each page is reduced where it is; along z, pages are combined array by array."""
+    if axis in ("x", "y"):
+        reduced = paged(planes, lambda page, _: page.max(axis=1 if axis == "x" else 0))
+        return reduced.select("image_id", F.col("z").alias("a"), F.posexplode("px").alias("b", "v"))
     if axis == "z":
-        return voxels(planes).groupBy("image_id", F.col("y").alias("a"), F.col("x").alias("b")).agg(F.max("v").alias("v"))
+        at = _maxima(planes).select("image_id", "width", F.posexplode("px").alias("i", "v"))
+        return at.select("image_id", F.expr("cast(i div width as int)").alias("a"), (F.col("i") % F.col("width")).cast("int").alias("b"), "v")
     raise ValueError("axis is x, y or z")
 
 
@@ -241,15 +324,21 @@ def without_skew_edges(planes: DataFrame, least: float, shrink: int) -> DataFram
     return whole_volumes(planes, f)
 
 
-def quantile(planes: DataFrame, part: float) -> DataFrame:
-    """(image_id, v): the order statistic number round(n * part), from 1. A histogram of different
-    values per image is summed; the pixels of an image never meet in one task."""
-    counts = voxels(planes).groupBy("image_id", "v").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("image_id").orderBy("v")
-    whole = Window.partitionBy("image_id")
-    at = counts.select("image_id", "v", F.sum("n").over(order).alias("upto"), F.sum("n").over(whole).alias("n"))
+def quantile(planes: DataFrame, part: float, buckets: int = 4096) -> DataFrame:
+    """(image_id, v): the order statistic number round(n * part), from 1. A first count, by `buckets`
+    spans of an image's values, finds the span that holds it; then the values in that span alone are
+    counted. Both counts are added up before they move, so an image's pixels never meet in one task."""
+    least = planes.groupBy("image_id").agg(F.min(F.array_min("px")).alias("lo"), F.max(F.array_max("px")).alias("hi"))
+    span = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * (buckets - 1))).otherwise(F.lit(0)).cast("int")
+    at = voxels(planes).select("image_id", "v").join(least, "image_id").select("image_id", "v", span.alias("span"))
+    order = Window.partitionBy("image_id").orderBy("span")
+    counts = at.groupBy("image_id", "span").agg(F.count("*").alias("n"))
+    counts = counts.select("image_id", "span", F.col("n").alias("here"), F.sum("n").over(order).alias("upto"), F.sum("n").over(Window.partitionBy("image_id")).alias("n"))
     rank = F.greatest(F.round(F.col("n") * F.lit(part)), F.lit(1))
-    return at.filter(F.col("upto") >= rank).groupBy("image_id").agg(F.min("v").alias("v"))
+    hit = counts.select("image_id", "span", (rank - (F.col("upto") - F.col("here"))).alias("rank"), (F.col("upto") >= rank).alias("in"), (F.col("upto") - F.col("here") < rank).alias("after")).filter("in and after").select("image_id", "span", "rank")
+    values = at.join(hit, ["image_id", "span"]).groupBy("image_id", "v").agg(F.count("*").alias("n"), F.max("rank").alias("rank"))
+    values = values.select("image_id", "v", "rank", F.sum("n").over(Window.partitionBy("image_id").orderBy("v")).alias("upto"))
+    return values.filter(F.col("upto") >= F.col("rank")).groupBy("image_id").agg(F.min("v").alias("v"))
 
 
 def rescaled(planes: DataFrame, part: float) -> DataFrame:

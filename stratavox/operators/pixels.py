@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratavox.types import DEPTHS, Grid, mapped, pixel_range, voxels
+from stratavox.shipping import ship
+from stratavox.types import DEPTHS, Grid, mapped, pages_of, pixel_range
 
 
 def clamp(v: Column, lo: float, hi: float) -> Column:
@@ -66,9 +69,35 @@ def crop(planes: DataFrame, grid: Grid, top: int = 0, bottom: int = 0, left: int
     return mapped(kept, rows, F.lit(h), F.lit(w)).withColumn("z", F.col("z") - front)
 
 
+def crop_between(planes: DataFrame, grid: Grid, y: tuple[int, int] = (0, 0), x: tuple[int, int] = (0, 0), z: tuple[int, int] = (0, 0)) -> tuple[DataFrame, Grid]:
+    """Rows, columns and pages from the first to the last number of each pair, both counted from 1; a
+    pair whose second number is not above its first cuts nothing."""
+    margins = [(lo - 1, n - hi) if hi > lo else (0, 0) for (lo, hi), n in ((y, grid.ny), (x, grid.nx), (z, grid.nz))]
+    (top, bottom), (left, right), (front, back) = margins
+    out = Grid(grid.nx - left - right, grid.ny - top - bottom, grid.nz - front - back, grid.sx, grid.sy, grid.sz)
+    return crop(planes, grid, top, bottom, left, right, front, back), out
+
+
 def average_slice(planes: DataFrame) -> DataFrame:
-    """(y, x, v): the mean of each pixel over all pages of all images; partial sums, then one row a pixel."""
-    return voxels(planes).groupBy("y", "x").agg(F.avg("v").alias("v"))
+    """(y, x, v): the mean of each pixel over all pages of all images. Each batch gives one array of
+    sums; these are added up before they move, then one row a pixel. A place that only larger pages
+    have is the mean of those."""
+    ship(planes.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            sums: dict[tuple[int, int], list] = {}
+            for _, page in pages_of(batch):
+                own = sums.setdefault(page.shape, [0, np.zeros(page.shape)])
+                own[0] += 1
+                own[1] += page
+            kinds = (pa.int32(), pa.int64(), pa.list_(pa.float64()))
+            rows = [(w, n, total.ravel()) for (_, w), (n, total) in sums.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["width", "n", "total"])
+
+    at = planes.select("height", "width", "px").mapInArrow(run, "width int, n long, total array<double>").select("width", "n", F.posexplode("total").alias("i", "total"))
+    place = at.select(F.expr("cast(i div width as int)").alias("y"), (F.col("i") % F.col("width")).cast("int").alias("x"), "n", "total")
+    return place.groupBy("y", "x").agg((F.sum("total") / F.sum("n")).alias("v"))
 
 
 def normalised_flat(flat: DataFrame, dark: DataFrame) -> DataFrame:

@@ -239,10 +239,12 @@ def shear_centered(spark, sf):
     return _vox(geometry.shear_centred(fixtures.planes(spark, sf), G, ANGLE, STEP, RES)[0], 4)
 
 
-def _resample_sql(ratio: float, pages: int, first: float = 0.0) -> str:
+def _resample_sql(ratio: float, pages: int, first: float = 0.0, edge: bool = True) -> str:
+    """Pages at k * ratio + first; with edge, the last counts for half a page more, pages beyond are 0."""
+    where = "pos >= 0" if edge else f"pos >= 0 AND pos <= {NZ - 1}"
     return f"""WITH {VOX}, page AS (SELECT k::INT AS k, k * {ratio!r}::DOUBLE + {first!r}::DOUBLE AS pos FROM (SELECT unnest(range(0, {pages})) AS k)),
-near AS (SELECT k, pos, floor(pos)::INT AS f, pos - floor(pos) AS w FROM page WHERE pos >= 0 AND pos <= {NZ - 1})
-SELECT a.image_id, k AS z, a.y, a.x, round(CASE WHEN w = 0 THEN a.v ELSE a.v * (1 - w) + b.v * w END, 4) AS v FROM near JOIN vox a ON a.z = f
+near AS (SELECT k, pos, least(floor(pos), {NZ - 1})::INT AS f, pos - floor(pos) AS w FROM page WHERE {where})
+SELECT a.image_id, k AS z, a.y, a.x, round(CASE WHEN pos >= {NZ - 0.5} THEN 0 WHEN w = 0 OR f = {NZ - 1} THEN a.v ELSE a.v * (1 - w) + b.v * w END, 4) AS v FROM near JOIN vox a ON a.z = f
 LEFT JOIN vox b ON b.image_id = a.image_id AND b.z = f + 1 AND b.y = a.y AND b.x = a.x"""
 
 
@@ -256,7 +258,7 @@ def resample_iso(spark, sf):
     return _vox(geometry.isotropic(fixtures.planes(spark, sf), G)[0], 4)
 
 
-@_q(_resample_sql(1.6, 15, 2.0 - 1.6 * 2.0))
+@_q(_resample_sql(1.6, 15, 2.0 - 1.6 * 2.0, edge=False))
 def resample_z_scale(spark, sf):
     return _vox(geometry.scale_z(fixtures.planes(spark, sf), G, 1.6)[0], 4)
 
@@ -273,6 +275,43 @@ def resize_endpoints(spark, sf):
     return _vox(geometry.resize_rows(fixtures.planes(spark, sf), G, 5, 12), 4)
 
 
+def _grid_sql(axes: dict[str, tuple[int, float]], beyond: bool, source: str = "vox", digits: int = 3) -> str:
+    """CTEs up to `grown`: linear resampling along z, y and x, one axis after the other; axes: (size, step)."""
+    out, at, sizes = [], source, {"x": NX, "y": NY, "z": NZ}
+    for axis, (size, step) in axes.items():
+        n, others = sizes[axis], [c for c in "zyx" if c != axis]
+        same = " AND ".join(f"b.{c} = a.{c}" for c in others)
+        value = f"CASE WHEN pos >= {n - 0.5} THEN 0 ELSE a.v * (1 - w) + coalesce(b.v, a.v) * w END" if beyond else "a.v * (1 - w) + coalesce(b.v, a.v) * w"
+        out.append(f"""p{axis} AS (SELECT k::INT AS k, pos, least(floor(pos), {n - 1})::INT AS f, pos - floor(pos) AS w FROM (SELECT k, k * {step!r}::DOUBLE AS pos FROM (SELECT unnest(range(0, {size})) AS k))),
+g{axis} AS (SELECT a.image_id, k AS {axis}, {", ".join(f"a.{c}" for c in others)}, {value} AS v FROM p{axis} JOIN {at} a ON a.{axis} = f LEFT JOIN {at} b ON b.image_id = a.image_id AND b.{axis} = f + 1 AND {same})""")
+        at = f"g{axis}"
+    return ", ".join(out) + f", grown AS (SELECT image_id, z, y, x, round(v, {digits}) AS v FROM {at})"
+
+
+@_q(f"WITH {VOX}, {_grid_sql({'y': (int(8 * 0.104 / 0.07), 0.07 / 0.104), 'x': (int(8 * 0.104 / 0.15), 0.15 / 0.104), 'z': (int(25 * 0.4 / 0.3), 0.3 / 0.4)}, True)} SELECT * FROM grown")
+def resample_xyz(spark, sf):
+    return _vox(geometry.resample(fixtures.planes(spark, sf), G, 0.15, 0.07, 0.3)[0], 3)
+
+
+@_q(f"WITH {VOX}, {_grid_sql({'y': (5, 7 / 4), 'x': (12, 7 / 11), 'z': (10, 24 / 9)}, False)} SELECT * FROM grown")
+def resize_xyz(spark, sf):
+    return _vox(geometry.resize(fixtures.planes(spark, sf), G, 10, 5, 12)[0], 3)
+
+
+_TOP = "top AS (SELECT image_id, v AS top FROM (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY v) AS n FROM vox) WHERE n = round(1600 * 0.9))"
+
+
+@_q(f"""WITH {VOX}, {_TOP}, part AS (SELECT image_id, z, y, x, v / top AS v FROM vox JOIN top USING (image_id)), {_grid_sql({'y': (4, 7 / 3), 'x': (4, 7 / 3), 'z': (13, 24 / 12)}, False, 'part', 12)}
+SELECT image_id, z, y, x, least(greatest(floor(v * 65536 + 0.5), 0), 65535)::DOUBLE AS v FROM grown""")
+def thumbnail_16(spark, sf):
+    return _vox(geometry.thumbnail(fixtures.planes(spark, sf), G, 2.0, 0.9)[0])
+
+
+@_q(f"WITH {VOX} SELECT image_id, z - 4 AS z, y - 1 AS y, x, v FROM vox WHERE z BETWEEN 4 AND 19 AND y BETWEEN 1 AND 5")
+def crop_from_to(spark, sf):
+    return _vox(pixels.crop_between(fixtures.planes(spark, sf), G, y=(2, 6), x=(3, 3), z=(5, 20))[0])
+
+
 @_q(f"WITH {VOX} SELECT image_id, 24 - z AS z, y, x, v FROM vox")
 def flip_z(spark, sf):
     return _vox(geometry.flip_z(fixtures.planes(spark, sf), NZ))
@@ -559,6 +598,17 @@ def bdv_rename_b(spark, sf):
     return names.bdv_name(names.with_tile(at, names.tile_indexes(at)), cameras=True, tag="_deskew").select("event_id", "bdv_name")
 
 
+@_q(f"WITH {_NAMES} SELECT dir, max(CASE WHEN camera = 'A' THEN channel END) AS channel FROM p GROUP BY dir")
+def highest_cam_a_channel(spark, sf):
+    return names.highest_channel(_parsed(spark, sf))
+
+
+@_q(f"""WITH {_NAMES} SELECT event_id, name, regexp_extract(name, '^(.*_[0-9]+t)', 1) || '.tif' AS original FROM nm""")
+def original_name(spark, sf):
+    processed = fixtures.names(spark, sf).withColumn("processed", names.tagged(names.tagged(F.col("name"), "_deskew"), "_decon"))
+    return names.original_of(processed, "processed").select("event_id", "name", "original")
+
+
 @_q(f'WITH {_NAMES} SELECT dir, channel, camera, ord AS "order" FROM ord')
 def channel_sort(spark, sf):
     return names.channel_order(_parsed(spark, sf))
@@ -754,21 +804,20 @@ def pipeline_decon_first(spark, sf):
     return runner.run(plan, _inputs(spark, sf))["mip:z@decon_first.deskew"].select("image_id", "axis", "a", "b", _r("v", 0).alias("v"))
 
 
-@_q(_columns("v", "image_id < 4"))
+@_q(f"WITH {VOX} SELECT image_id, z, y, x, v FROM vox")
 def tiff_roundtrip(spark, sf):
     folder = _folder(spark)
-    tiff.write_stacks(fixtures.planes(spark, sf).filter("image_id < 4"), folder)
+    tiff.write_stacks(fixtures.planes(spark, sf), folder)
     at = tiff.read_stacks(spark, folder)
     planes = at.select(F.regexp_extract("name", r"image_(\d+)", 1).cast("long").alias("image_id"), F.col("page").alias("z"), "height", "width", "px")
     return _vox(planes)
 
 
-@_q("SELECT 4::BIGINT AS n_files, 100::BIGINT AS n_pages, 0::BIGINT AS n_again")
+@_q(f"WITH {VOX} SELECT count(DISTINCT image_id) AS n_files, count(DISTINCT (image_id, z)) AS n_pages, 0::BIGINT AS n_again FROM vox")
 def stream_available_now(spark, sf):
     folder, state = _folder(spark), _folder(spark)
-    tiff.write_stacks(fixtures.planes(spark, sf).filter("image_id < 4"), folder)
+    tiff.write_stacks(fixtures.planes(spark, sf), folder)
     seen: list[list[tuple[int, int]]] = [[], []]
     for turn in seen:
-        incremental.stream_files(spark, folder, state, lambda df, _, turn=turn: turn.append((df.count(), sum(len(tiff.decode(bytes(r["content"]))) for r in df.toLocalIterator()))))
+        incremental.stream_files(spark, folder, state, lambda df, _, turn=turn: turn.append((df.count(), tiff.pages(df).count())))
     return spark.createDataFrame([(sum(a for a, _ in seen[0]), sum(b for _, b in seen[0]), sum(a for a, _ in seen[1]))], "n_files long, n_pages long, n_again long")
-

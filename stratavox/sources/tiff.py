@@ -118,7 +118,12 @@ def read_stacks(spark: SparkSession, path: str, glob: str = "*.tif*") -> DataFra
     """A row for each page of the TIFF files below a path, read by Spark from any store; the pages of
     a file may differ in size and type. A file that is no TIFF is an error that names it."""
     ship(spark)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
+    return pages(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path))
+
+
+def pages(files: DataFrame) -> DataFrame:
+    """The same of files (path, content), a batch of a stream of them too."""
+    ship(files.sparkSession)
 
     def run(batches):
         for pdf in batches:

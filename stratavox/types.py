@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +58,15 @@ def planes_of(voxel: DataFrame, height: int, width: int) -> DataFrame:
     return at.select("image_id", "z", F.lit(height).alias("height"), F.lit(width).alias("width"), px.alias("px"))
 
 
+def pages_of(batch: pa.RecordBatch):
+    """(row, page as a 2-D array) of the planes of an Arrow batch whose pixels are not null."""
+    px = batch.column("px")
+    values, ends = np.asarray(px.flatten()), np.cumsum(px.value_lengths().fill_null(0).to_numpy())
+    for i, (end, h, w) in enumerate(zip(ends.tolist(), batch.column("height").to_pylist(), batch.column("width").to_pylist(), strict=True)):
+        if px[i].is_valid:
+            yield i, values[end - h * w : end].reshape(h, w)
+
+
 def mapped(planes: DataFrame, f, height: Column | str = "height", width: Column | str = "width") -> DataFrame:
     """planes with px replaced by f(px column)."""
     h, w = (F.col(x) if isinstance(x, str) else x for x in (height, width))
