@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratavox.types import Grid, voxels
 
-from .geometry import deskew, deskew_geometry, whole_volumes
+from .geometry import deskew, deskew_geometry, paged, whole_volumes
 
 #: A smaller denominator gives ratio 0.
 LEAST = 1e-5
@@ -23,10 +23,10 @@ def padded_kernel(kernel: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
     return np.fft.rfftn(np.roll(k, [-(n // 2) for n in kernel.shape], (0, 1, 2)))
 
 
-def richardson_lucy(a: np.ndarray, kernel: np.ndarray, iterations: int) -> np.ndarray:
+def richardson_lucy(a: np.ndarray, kernel: np.ndarray, iterations: int, padded: bool = False) -> np.ndarray:
     """estimate *= mirrored kernel * (image / (kernel * estimate)), from the image, on the image
-    padded by the kernel's reach with its edge pixels; convolutions are circular there."""
-    pad = [(n // 2, n // 2) for n in kernel.shape]
+    padded by the kernel's reach with its edge pixels (padded: it is along z); convolutions are circular there."""
+    pad = [(0, 0) if padded and k == 0 else (n // 2, n // 2) for k, n in enumerate(kernel.shape)]
     image = np.pad(a, pad, mode="edge")
     k = padded_kernel(kernel, image.shape)
     turn = lambda x, t: np.fft.irfftn(np.fft.rfftn(x) * t, image.shape, axes=(0, 1, 2))
@@ -73,19 +73,26 @@ def convolve(planes: DataFrame, kernel: np.ndarray) -> DataFrame:
     return whole_volumes(planes, f)
 
 
-def deconvolve_bricks(planes: DataFrame, grid: Grid, kernel: np.ndarray, iterations: int, pages: int) -> DataFrame:
-    """The same in bricks of `pages` pages for volumes that do not fit a worker. A brick comes with
-    the pages that its result depends on, 2 * iterations kernel reaches on either side."""
-    halo = 2 * iterations * (kernel.shape[0] // 2)
-    bricks = -(-grid.nz // pages)
-    lo, hi = F.floor((F.col("z") - halo) / pages), F.floor((F.col("z") + halo) / pages)
-    at = planes.withColumn("brick", F.explode(F.sequence(F.greatest(lo, F.lit(0)), F.least(hi, F.lit(bricks - 1)))))
-    first = F.greatest(F.col("brick") * pages - halo, F.lit(0))
-    cut = at.select((F.col("image_id") * bricks + F.col("brick")).alias("image_id"), (F.col("z") - first).cast("int").alias("z"), "height", "width", "px")
-    done = whole_volumes(cut, lambda a: richardson_lucy(a, kernel, iterations))
+def deconvolve_bricks(planes: DataFrame, grid: Grid, kernel: np.ndarray, iterations: int, pages: int, subtract: float = 0.0) -> DataFrame:
+    """deconvolve() in bricks of `pages` pages for volumes that do not fit a worker, with the same
+    result. A brick comes with the pages that its result depends on, 2 * iterations kernel reaches on
+    either side, of the circle that the padded volume's pages form."""
+    reach = kernel.shape[0] // 2
+    halo, around = 2 * iterations * reach, grid.nz + 2 * reach
+    if pages + 2 * halo >= around:
+        return deconvolve(planes, kernel, iterations, subtract)
+    bricks, c = -(-grid.nz // pages), subtract / 65535
+    z = F.col("z")
+    place = F.sequence(F.when(z == 0, F.lit(0)).otherwise(z + reach), F.when(z == grid.nz - 1, F.lit(around - 1)).otherwise(z + reach))
+    every = F.sequence(F.lit(0), F.lit(bricks - 1))
+    nth = lambda p, b: F.pmod(p - (b * pages + reach - halo), F.lit(around))
+    spots = F.flatten(F.transform(place, lambda p: F.transform(F.filter(every, lambda b: nth(p, b) < F.least(F.lit(pages), grid.nz - b * pages) + 2 * halo), lambda b: F.struct(b.alias("brick"), nth(p, b).alias("z")))))
+    at = planes.select("image_id", "height", "width", "px", F.explode(spots).alias("s"))
+    cut = at.select((F.col("image_id") * bricks + F.col("s.brick")).alias("image_id"), F.col("s.z").cast("int").alias("z"), "height", "width", "px")
+    done = whole_volumes(cut, lambda a: richardson_lucy(np.clip(a - c, 0, 1) if c else a, kernel, iterations, padded=True))
     brick = F.pmod(F.col("image_id"), F.lit(bricks))
-    z = F.col("z") + F.greatest(brick * pages - halo, F.lit(0))
-    return done.filter(F.floor(z / pages) == brick).select(F.floor(F.col("image_id") / bricks).alias("image_id"), z.cast("int").alias("z"), "height", "width", "px")
+    inside = (z >= halo) & (z < halo + F.least(F.lit(pages), grid.nz - brick * pages))
+    return done.filter(inside).select(F.floor(F.col("image_id") / bricks).alias("image_id"), (z - halo + brick * pages).cast("int").alias("z"), "height", "width", "px")
 
 
 def psf_peak(planes: DataFrame) -> DataFrame:
@@ -175,9 +182,6 @@ def psf_scale(psf_step: float, stage_step: float, angle: float) -> float:
 
 def tapered(planes: DataFrame, grid: Grid, sigma: float = 2.0) -> DataFrame:
     """Each page pulled to its mean towards the border, with Gaussian weights of the distance to it."""
-    w = np.array([[1 - math.exp(-((min(i, grid.ny - 1 - i, j, grid.nx - 1 - j) + 0.5) ** 2) / (2 * sigma * sigma)) for j in range(grid.nx)] for i in range(grid.ny)])
-    weights = F.array(*[F.lit(float(v)) for v in w.ravel()])
-    mean = F.aggregate("px", F.lit(0.0), lambda a, v: a + v) / F.size("px")
-    at = planes.withColumn("_m", mean)
-    return at.select("image_id", "z", "height", "width", F.zip_with("px", weights, lambda v, k: v * k + F.col("_m") * (F.lit(1.0) - k)).alias("px"))
-
+    y, x = (np.minimum(np.arange(n), n - 1 - np.arange(n)) + 0.5 for n in (grid.ny, grid.nx))
+    w = 1 - np.exp(-(np.minimum(y[:, None], x[None, :]) ** 2) / (2 * sigma * sigma))
+    return paged(planes, lambda page, _: page * w + page.mean() * (1 - w))

@@ -53,7 +53,7 @@ def _vox(planes: DataFrame, digits: int | None = None) -> DataFrame:
     return at if digits is None else at.withColumn("v", _r("v", digits))
 
 
-VOX = """vox AS (SELECT vec_id // 25 AS image_id, (vec_id % 25)::INT AS z, ((i - 1) // 8)::INT AS y, ((i - 1) % 8)::INT AS x,
+VOX = """vox AS MATERIALIZED (SELECT vec_id // 25 AS image_id, (vec_id % 25)::INT AS z, ((i - 1) // 8)::INT AS y, ((i - 1) % 8)::INT AS x,
   floor((embedding[i]::DOUBLE + 1) * 32767.5::DOUBLE) AS v FROM embeddings, (SELECT unnest(range(1, 65)) AS i))"""
 DARK = "dark AS (SELECT (i // 8)::INT AS y, (i % 8)::INT AS x, 100.0::DOUBLE + i % 7 AS v FROM (SELECT unnest(range(0, 64)) AS i))"
 FLAT = f"""{VOX}, {DARK}, mean AS (SELECT y, x, avg(v) AS v FROM vox GROUP BY y, x),
@@ -442,9 +442,9 @@ def decon_subtract(spark, sf):
     return _vox(decon.deconvolve(_unit(spark, sf), fixtures.kernel(), 2, 100), 6)
 
 
-@_q()
+@_q(_iterated(1))
 def decon_bricks(spark, sf):
-    return _vox(decon.deconvolve_bricks(_unit(spark, sf), G, fixtures.kernel(), 2, 10), 4)
+    return _vox(decon.deconvolve_bricks(_unit(spark, sf), G, fixtures.kernel(), 1, 5), 6)
 
 
 # Point-spread functions
@@ -492,12 +492,15 @@ def psf_scale_factor(spark, sf):
     return spark.createDataFrame([(round(decon.psf_scale(0.1, 0.4, 31.8), 9),)], "scale double")
 
 
-@_q()
+@_q(f"""WITH {VOX}, coef AS (SELECT m::INT AS m, z::INT AS z, sum(cos(2 * pi() * f * (m / 20.0::DOUBLE - z / 25.0::DOUBLE))) / 25 AS k
+  FROM (SELECT unnest(range(0, 20)) AS m), (SELECT unnest(range(0, 25)) AS z), (SELECT unnest(range(-10, 10)) AS f) GROUP BY m, z)
+SELECT image_id, m AS z, y, x, round(greatest(sum(k * v), 0), 3) + 0.0 AS v FROM vox JOIN coef USING (z) GROUP BY image_id, m, y, x""")
 def psf_fourier_z(spark, sf):
     return _vox(decon.psf_resampled(fixtures.planes(spark, sf), 1.25), 3)
 
 
-@_q()
+@_q(f"""WITH {VOX}, mean AS (SELECT image_id, z, avg(v) AS m FROM vox GROUP BY image_id, z),
+w AS (SELECT *, 1 - exp(-power(least(y, 7 - y, x, 7 - x) + 0.5, 2) / 8) AS w FROM vox JOIN mean USING (image_id, z)) SELECT image_id, z, y, x, round(v * w + m * (1 - w), 3) AS v FROM w""")
 def edge_taper(spark, sf):
     return _vox(decon.tapered(fixtures.planes(spark, sf), G), 3)
 
@@ -536,7 +539,10 @@ def close(spark, sf):
     return _vox(geometry.close(fixtures.planes(spark, sf)))
 
 
-@_q()
+@_q(f"""WITH {VOX}, m AS MATERIALIZED (SELECT image_id, z, y, x, (v > 36000)::INT AS v FROM vox), up AS MATERIALIZED ({_near_sql('m', 'max', 2)}), down AS MATERIALIZED ({_near_sql('up', 'min', 2)}),
+inner_ AS (SELECT a.image_id, a.z, a.y, a.x, min(b.v) AS k FROM down a JOIN down b ON b.image_id = a.image_id AND b.z BETWEEN a.z - 1 AND a.z + 1 AND b.y BETWEEN a.y - 1 AND a.y + 1 AND b.x BETWEEN a.x - 1 AND a.x + 1
+  AND abs(a.z - b.z) + abs(a.y - b.y) + abs(a.x - b.x) <= 1 GROUP BY ALL)
+SELECT image_id, z, y, x, CASE WHEN k > 0 THEN v ELSE 0 END AS v FROM vox JOIN inner_ USING (image_id, z, y, x)""")
 def skew_edges(spark, sf):
     return _vox(geometry.without_skew_edges(fixtures.planes(spark, sf), 36000, 1))
 
@@ -772,30 +778,32 @@ def plan_stages(spark, sf):
     return spark.createDataFrame([(k, s, t) for k, (t, s) in enumerate(parse_config(json.dumps(full)).stages())], "nth int, source string, stage string")
 
 
-def _pipeline_sql() -> str:
-    g = Grid(6, 5, 18)
-    shift, out = geometry.deskew_geometry(g, ANGLE, STEP, RES)
-    return f"""WITH {FLAT}, ff AS (SELECT image_id, z, o.y, o.x, trunc(greatest(o.v - d.v, 0) / n) AS v FROM vox o JOIN dark d ON o.y = d.y AND o.x = d.x JOIN norm n ON o.y = n.y AND o.x = n.x),
-cr AS (SELECT image_id, z - 3 AS z, y - 1 AS y, x - 1 AS x, v / 65535::DOUBLE AS v FROM ff WHERE z >= 3 AND z < 21 AND y >= 1 AND y < 6 AND x >= 1 AND x < 7),
+def _chain_sql(source: str, flat: bool) -> str:
+    """CTEs cr (cropped counts), dk (deskewed counts) and mp (z projection at even distances)."""
+    _, out = geometry.deskew_geometry(Grid(6, 5, 18, sz=STEP), ANGLE, STEP, RES)
+    shift, pages, ratio = STEP * math.cos(math.radians(ANGLE)) / RES, geometry.resampled_pages(out, out.sx), out.sx / out.sz
+    first = "ff AS (SELECT image_id, z, o.y, o.x, trunc(greatest(o.v - d.v, 0) / n) AS v FROM vox o JOIN dark d ON o.y = d.y AND o.x = d.x JOIN norm n ON o.y = n.y AND o.x = n.x), " if flat else ""
+    return f"""{first}cr AS (SELECT image_id, z - 3 AS z, y - 1 AS y, x - 1 AS x, v FROM {source} WHERE z >= 3 AND z < 21 AND y >= 1 AND y < 6 AND x >= 1 AND x < 7),
 cell AS (SELECT p.image_id, p.z, p.y, i::INT AS x, i - p.z * {shift!r}::DOUBLE AS pos FROM (SELECT DISTINCT image_id, z, y FROM cr) p, (SELECT unnest(range(0, {out.nx})) AS i)),
 near AS (SELECT *, floor(pos) AS f, least(greatest(floor(pos), 0), 5)::INT AS a, least(greatest(floor(pos) + 1, 0), 5)::INT AS b FROM cell),
-dk AS (SELECT n.image_id, n.z, n.y, n.x, trunc(least(greatest(CASE WHEN pos >= -0.5 AND pos < 5.5 THEN l.v * (1 - (pos - f)) + r.v * (pos - f) ELSE 0 END, 0), 1) * 65535::DOUBLE) AS v
-FROM near n JOIN cr l ON l.image_id = n.image_id AND l.z = n.z AND l.y = n.y AND l.x = n.a JOIN cr r ON r.image_id = n.image_id AND r.z = n.z AND r.y = n.y AND r.x = n.b)
-SELECT image_id, y AS a, x AS b, max(v) AS v FROM dk GROUP BY image_id, y, x"""
+dk AS MATERIALIZED (SELECT n.image_id, n.z, n.y, n.x, trunc(least(greatest(CASE WHEN pos >= -0.5 AND pos < 5.5 THEN l.v / 65535::DOUBLE * (1 - (pos - f)) + r.v / 65535::DOUBLE * (pos - f) ELSE 0 END, 0), 1) * 65535::DOUBLE) AS v
+FROM near n JOIN cr l ON l.image_id = n.image_id AND l.z = n.z AND l.y = n.y AND l.x = n.a JOIN cr r ON r.image_id = n.image_id AND r.z = n.z AND r.y = n.y AND r.x = n.b),
+even AS (SELECT k, pos, least(floor(pos), 17)::INT AS f, pos - floor(pos) AS w FROM (SELECT k, k * {ratio!r}::DOUBLE + 0.0::DOUBLE AS pos FROM (SELECT unnest(range(0, {pages})) AS k))),
+mp AS (SELECT a.image_id, a.y AS a, a.x AS b, max(trunc(least(greatest(CASE WHEN pos >= 17.5 THEN 0 WHEN w = 0 OR f = 17 THEN a.v / 65535::DOUBLE ELSE a.v / 65535::DOUBLE * (1 - w) + n.v / 65535::DOUBLE * w END, 0), 1) * 65535::DOUBLE)) AS v
+FROM even JOIN dk a ON a.z = f LEFT JOIN dk n ON n.image_id = a.image_id AND n.z = f + 1 AND n.y = a.y AND n.x = a.x GROUP BY a.image_id, a.y, a.x)"""
+
+
+CROP = {"cropTop": 1, "cropBottom": 2, "cropLeft": 1, "cropRight": 1, "cropFront": 3, "cropBack": 4}
 
 
 def _inputs(spark, sf):
-    return runner.Inputs(fixtures.planes(spark, sf), Grid(NX, NY, NZ), STEP, fixtures.dark(spark), _norm(spark, sf), fixtures.kernel())
+    return runner.Inputs(fixtures.planes(spark, sf), Grid(NX, NY, NZ, sz=STEP), STEP, fixtures.dark(spark), _norm(spark, sf), fixtures.kernel())
 
 
-@_q(_pipeline_sql())
+@_q(f"WITH {FLAT}, {_chain_sql('ff', True)} SELECT image_id, 'z' AS axis, a, b, v FROM mp")
 def pipeline_ff_crop_deskew_mip(spark, sf):
-    crop = {"cropTop": 1, "cropBottom": 2, "cropLeft": 1, "cropRight": 1, "cropFront": 3, "cropBack": 4}
-    plan = parse_config(json.dumps(CONFIG | {"flatfield": {}, "crop": crop, "deskew": {"angle": ANGLE, "xy-res": RES}}))
-    given = _inputs(spark, sf)
-    # Pages as far apart as pixels, so that the projection does not resample.
-    planes = geometry.deskew(pixels.convert(runner.run(plan, given)["crop"], "uint16", "float64"), Grid(6, 5, 18), ANGLE, STEP, RES)[0]
-    return geometry.mip(pixels.for_depth(planes, "float64", 16), "z")
+    plan = parse_config(json.dumps(CONFIG | {"flatfield": {}, "crop": CROP, "deskew": {"angle": ANGLE, "xy-res": RES}}))
+    return runner.run(plan, _inputs(spark, sf))["mip:z@deskew"]
 
 
 @_q()
