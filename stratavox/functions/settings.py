@@ -16,6 +16,11 @@ DEVICES = {
 def read_settings(spark: SparkSession, path: str) -> DataFrame:
     """(path, dir, text) of *Settings.txt files below a path, as Latin-1."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*Settings.txt").load(path)
+    return documents(files)
+
+
+def documents(files: DataFrame) -> DataFrame:
+    """(path, dir, text) of files (path, content)."""
     return files.select("path", F.regexp_replace("path", "/[^/]*$", "").alias("dir"), F.decode("content", "ISO-8859-1").alias("text"))
 
 

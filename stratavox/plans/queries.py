@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stratavox.functions import calibration, names, settings
 from stratavox.operators import decon, geometry, pixels
-from stratavox.plans import fixtures, runner
+from stratavox.plans import batch, fixtures, runner
 from stratavox.plans.config import parse_config
 from stratavox.sources import tiff
 from stratavox.streaming import incremental
@@ -806,6 +806,39 @@ def pipeline_ff_crop_deskew_mip(spark, sf):
     return runner.run(plan, _inputs(spark, sf))["mip:z@deskew"]
 
 
+def acquisition_tree(spark, sf, folder: str) -> str:
+    """An acquisition of all images with its settings, below folder; the configuration that processes it."""
+    raw = fixtures.planes(spark, sf)
+    named = raw.select("image_id").distinct().select("image_id", F.format_string("scan_CamA_ch0_CAM1_stack%04d_488nm_%07dmsec_%010dmsecAbs_000x_000y_000z_0000t.tif", "image_id", F.col("image_id") * 2520, F.col("image_id") * 2520).alias("file"))
+    tiff.write_stacks(raw, f"{folder}/d0", names=named, spacing=(RES, RES, STEP))
+    lines = fixtures.SETTINGS.replace("X Stage Offset, ", "S PZT Offset, ").split("\n")
+    text = "\n".join(x.replace("S PZT Offset", "S Piezo Offset") for x in lines if not x.startswith("Excitation Filter") or "(0)" in x)
+    _put(spark, f"{folder}/d0/scan_Settings.txt", text)
+    return json.dumps({"paths": {"root": folder}, "crop": CROP, "deskew": {"angle": ANGLE, "xy-res": RES}, "mip": {"x": False, "y": False, "z": True}})
+
+
+def _put(spark, path: str, text: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    stream.write(bytearray(text.encode("latin-1")))
+    stream.close()
+
+
+@_q(f"""WITH {VOX}, {_chain_sql('vox', False)} SELECT 'crop' AS stage, count(DISTINCT image_id) AS n_files, count(DISTINCT (image_id, z)) AS n_pages, sum(v) AS total FROM cr
+UNION ALL SELECT 'deskew', count(DISTINCT image_id), count(DISTINCT (image_id, z)), sum(v) FROM dk UNION ALL SELECT 'mip', count(DISTINCT image_id), count(DISTINCT image_id), sum(v) FROM mp
+UNION ALL SELECT 'again', 0, 0, 0""")
+def run_folder(spark, sf):
+    folder = _folder(spark)
+    config = acquisition_tree(spark, sf, folder)
+    batch.run(spark, config)
+    again = batch.run(spark, config).count()  # the log holds it now
+    at = tiff.read_stacks(spark, f"{folder}/d0").filter("path rlike '/(crop|deskew)/'")
+    stage = F.when(F.col("path").contains("/mip/"), "mip").otherwise(F.regexp_extract("path", "/(crop|deskew)/", 1))
+    sums = at.select(stage.alias("stage"), "path", F.aggregate("px", F.lit(0.0), lambda a, v: a + v).alias("v"))
+    found = sums.groupBy("stage").agg(F.count_distinct("path").alias("n_files"), F.count("*").alias("n_pages"), F.sum("v").alias("total"))
+    return found.union(spark.createDataFrame([("again", again, 0, 0.0)], found.schema))
+
+
 @_q()
 def pipeline_decon_first(spark, sf):
     plan = parse_config(json.dumps(CONFIG | {"decon-first": {"decon": {"n": 2}, "deskew": {"angle": ANGLE, "xy-res": RES}}}))

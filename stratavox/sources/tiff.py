@@ -114,11 +114,17 @@ def encode(stack: np.ndarray, spacing: tuple[float, float, float] = (1.0, 1.0, 1
 READ = "path string, name string, page int, dtype string, height int, width int, samples int, px array<double>, pos_x double, pos_y double, pos_z double"
 
 
-def read_stacks(spark: SparkSession, path: str, glob: str = "*.tif*") -> DataFrame:
-    """A row for each page of the TIFF files below a path, read by Spark from any store; the pages of
-    a file may differ in size and type. A file that is no TIFF is an error that names it."""
-    ship(spark)
-    return pages(spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path))
+def read_stacks(spark: SparkSession, path: str, glob: str = "*.tif*", below: bool = True) -> DataFrame:
+    """A row for each page of the TIFF files below a path (or in it alone), read by Spark from any store;
+    the pages of a file may differ in size and type. A file that is no TIFF is an error that names it."""
+    return pages(spark.read.format("binaryFile").option("recursiveFileLookup", str(below).lower()).option("pathGlobFilter", glob).load(path))
+
+
+def sizes(files: DataFrame) -> DataFrame:
+    """(path, pages, height, width, dtype) of stacks (path, content); of the first page, where they differ."""
+    first = F.min(F.struct("page", "height", "width", "dtype"))
+    at = pages(files).select("path", "page", "height", "width", "dtype").groupBy("path").agg(F.count("*").alias("pages"), first.alias("x"))
+    return at.select("path", F.col("pages").cast("int").alias("pages"), "x.height", "x.width", "x.dtype")
 
 
 def pages(files: DataFrame) -> DataFrame:
@@ -140,34 +146,59 @@ def pages(files: DataFrame) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, READ)
 
 
+#: Pixels are held as doubles: an integer type takes what is rounded to it and saturates.
+def _typed(stack: np.ndarray, dtype: str) -> np.ndarray:
+    if np.dtype(dtype).kind == "f":
+        return stack.astype(dtype)
+    most = np.iinfo(dtype)
+    return np.clip(np.trunc(np.nan_to_num(stack)), most.min, most.max).astype(dtype)
+
+
 def encoded(planes: DataFrame, dtype: str = "uint16", spacing: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
-    """(image_id, content): a TIFF stack for each image."""
+    """(image_id, content): a TIFF stack for each image; integers truncate and saturate."""
     ship(planes.sparkSession)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("z")
         stack = np.stack(pdf["px"].to_numpy()).reshape(-1, int(pdf["height"].iloc[0]), int(pdf["width"].iloc[0]))
-        return pd.DataFrame({"image_id": [pdf["image_id"].iloc[0]], "content": [encode(stack.astype(dtype), spacing)]})
+        return pd.DataFrame({"image_id": [pdf["image_id"].iloc[0]], "content": [encode(_typed(stack, dtype), spacing)]})
 
     return planes.groupBy("image_id").applyInPandas(run, "image_id long, content binary")
 
 
-def write_stacks(planes: DataFrame, folder: str, name: str = "image_%d.tif", overwrite: bool = False, **options) -> DataFrame:
-    """Write a file for each image; returns (image_id, path). An existing file is an error unless
-    overwrite. Executors write to stores that Arrow knows (file:// must be a shared mount), each file
-    under a name of its own that is moved into place, so that a task can run twice. Files for other
-    stores are encoded by executors and put by the driver through Hadoop's file systems."""
-    if folder.partition("://")[0] in ("file", "s3", "gs", "abfs", "hdfs"):
-        if not overwrite and (there := _existing(planes, folder, name)):
-            raise FileExistsError(there)
-        return _written(encoded(planes, **options), folder, name)
+#: Stores that Arrow writes to itself, and what it calls them.
+SCHEMES = {"file": "file", "s3": "s3", "s3a": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss", "hdfs": "hdfs", "viewfs": "viewfs"}
+
+
+def write_stacks(planes: DataFrame, folder: str, name: str = "image_%d.tif", overwrite: bool = False, skip: bool = False, names: DataFrame | None = None, **options) -> DataFrame:
+    """Write a file for each image; returns (image_id, path), lazily read from what was done. Files are
+    called name % image_id, or as names (image_id, file) says. An existing file is an error unless
+    overwrite, or left as it is with skip. Executors write to stores that Arrow knows (file:// must be
+    a shared mount), each file under a name of its own that is moved into place, so that a task can run
+    twice. Files for other stores are encoded by executors and put by the driver, one at a time, through
+    Hadoop's file systems."""
     spark = planes.sparkSession
+    ship(spark)
+    folder = folder if "://" in folder else "file://" + folder.removeprefix("file:")
+    wanted = (planes.select("image_id").distinct().select("image_id", F.format_string(name, "image_id").alias("file")) if names is None else names).select("image_id", "file")
+    scheme, _, rest = folder.partition("://")
+    if scheme in SCHEMES and scheme != "viewfs":
+        place = f"{SCHEMES[scheme]}://{rest}"
+        there = _existing(wanted, place)
+        if skip:
+            wanted = wanted.join(there, "file", "left_anti").select("image_id", "file")
+        elif not overwrite and (found := there.head(1)):
+            raise FileExistsError(f"{folder}/{found[0]['file']}")
+        content = encoded(planes.join(wanted.select("image_id"), "image_id", "left_semi") if skip else planes, **options)
+        return _written(content.join(wanted, "image_id"), place, folder)
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     done = []
-    for row in encoded(planes, **options).toLocalIterator():
-        path = jvm.org.apache.hadoop.fs.Path(folder, name % row["image_id"])
+    for row in encoded(planes, **options).join(wanted, "image_id").toLocalIterator():
+        path = jvm.org.apache.hadoop.fs.Path(folder, row["file"])
         fs = path.getFileSystem(conf)
         if fs.exists(path) and not overwrite:
+            if skip:
+                continue
             raise FileExistsError(path.toString())
         stream = fs.create(path, overwrite)
         stream.write(bytearray(row["content"]))
@@ -176,38 +207,36 @@ def write_stacks(planes: DataFrame, folder: str, name: str = "image_%d.tif", ove
     return spark.createDataFrame(done, "image_id long, path string")
 
 
-def _existing(planes: DataFrame, folder: str, name: str) -> str | None:
-    """A file that is there already, if any; only image numbers are read for it."""
+def _existing(wanted: DataFrame, folder: str) -> DataFrame:
+    """(file): files that are there already."""
 
     def look(batches):
         from pyarrow import fs
 
         store, base = fs.FileSystem.from_uri(folder)
         for pdf in batches:
-            paths = [f"{base}/{name % i}" for i in pdf["image_id"]]
-            there = store.get_file_info(paths) if paths else []
-            yield pd.DataFrame({"path": [x.path for x in there if x.type != fs.FileType.NotFound]}, dtype=object)
+            info = store.get_file_info([f"{base}/{f}" for f in pdf["file"]]) if len(pdf) else []
+            yield pd.DataFrame({"file": [x.base_name for x in info if x.type != fs.FileType.NotFound]}, dtype=object)
 
-    found = planes.select("image_id").distinct().mapInPandas(look, "path string").head(1)
-    return found[0]["path"] if found else None
+    return wanted.select("file").mapInPandas(look, "file string")
 
 
-def _written(files: DataFrame, folder: str, name: str) -> DataFrame:
+def _written(files: DataFrame, place: str, folder: str) -> DataFrame:
     run = uuid.uuid4().hex
 
     def put(batches):
         from pyarrow import fs
 
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = fs.FileSystem.from_uri(place)
         store.create_dir(base, recursive=True)
         for pdf in batches:
-            for i, content in zip(pdf["image_id"], pdf["content"], strict=True):
-                with store.open_output_stream(f"{base}/.{run}-{name % i}") as f:
+            for file, content in zip(pdf["file"], pdf["content"], strict=True):
+                with store.open_output_stream(f"{base}/.{run}-{file}") as f:
                     f.write(bytes(content))
-                store.move(f"{base}/.{run}-{name % i}", f"{base}/{name % i}")
-            yield pd.DataFrame({"image_id": pdf["image_id"], "path": [f"{folder}/{name % i}" for i in pdf["image_id"]]})
+                store.move(f"{base}/.{run}-{file}", f"{base}/{file}")
+            yield pd.DataFrame({"image_id": pdf["image_id"], "path": [f"{folder}/{f}" for f in pdf["file"]]})
 
-    rows = files.mapInPandas(put, "image_id long, path string").collect()
+    rows = files.mapInPandas(put, "image_id long, path string").collect()  # an id and a path for each image
     return files.sparkSession.createDataFrame(rows, "image_id long, path string")
 
 
