@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 
 from .common import id_text, slices
 
-#: Labelled rows that are learned from at most: of each class, those with the least hash of doc_id.
-TOXIC_ROWS, OTHER_ROWS = 3000, 6000
-#: Features that the classifier weighs at most, and numbers of words and beginnings in all.
+#: Labelled rows that are learned from at most, of each class, and rows whose labels are not looked at:
+#: those with the least hash of doc_id.
+TOXIC_ROWS, OTHER_ROWS, PLAIN_ROWS = 3000, 6000, 6000
+#: Correlated voters: the least mutual information, given the class, that ties a voter to another.
+TIED = 0.003
+#: Features that the classifier weighs at most beside the indicators, and numbers of words and beginnings in all.
 WEIGHTED, NUMBERS = 2048, 1 << 24
 #: A word or beginning is a feature for each of these that it reaches: occurrences, and occurrences
 #: (two at least) in a thousand words.
@@ -24,13 +27,27 @@ OFTEN, DENSE = (1, 2, 4), (5, 10, 20)
 LEVELS = len(OFTEN) + len(DENSE)
 #: Beginnings of a word that are features beside the whole word.
 BEGINNINGS = (4, 5, 6)
-#: Mined indicators, and the voters they are dealt to.
-INDICATORS, VOTERS = 240, 12
-#: Insults of everyday English.
-INSULTS = (
-    "idiot", "moron", "stupid", "loser", "pathetic", "scum", "worthless", "trash", "clown", "disgusting",
-    "dumb", "fool", "garbage", "filth", "vermin", "imbecile", "jerk", "coward", "freak", "liar",
-)
+#: Mined indicators, the voters they are dealt to, and the rounds in which they are mined.
+INDICATORS, VOTERS, MINED = 480, 24, 6
+#: Everyday insults, by language.
+INSULTS = {
+    "en": (
+        "idiot", "moron", "stupid", "loser", "pathetic", "scum", "worthless", "trash", "clown", "disgusting",
+        "dumb", "fool", "garbage", "filth", "vermin", "imbecile", "jerk", "coward", "freak", "liar",
+    ),
+    "de": (
+        "idiot", "dumm", "dummkopf", "trottel", "depp", "blödmann", "abschaum", "versager", "wertlos", "widerlich",
+        "ekelhaft", "feigling", "lügner", "arschloch", "schwachkopf", "vollidiot", "drecksack", "mistkerl", "gesindel", "erbärmlich",
+    ),
+    "fr": (
+        "idiot", "imbécile", "crétin", "abruti", "débile", "connard", "salaud", "ordure", "minable", "pathétique",
+        "dégoûtant", "répugnant", "lâche", "menteur", "vermine", "raclure", "bouffon", "nul", "pitoyable", "stupide",
+    ),
+    "es": (
+        "idiota", "imbécil", "estúpido", "tonto", "cretino", "escoria", "basura", "asqueroso", "patético", "inútil",
+        "cobarde", "mentiroso", "payaso", "perdedor", "miserable", "gusano", "despreciable", "cabrón", "bastardo", "repugnante",
+    ),
+}
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -74,40 +91,67 @@ def patterns(text: str) -> list[int]:
 
 @dataclass
 class LabelModel:
-    """P(vote | class) of each voter, fitted by EM; a voter that is correlated with others, given
-    the class, counts for less."""
+    """Votes (-1 none, 0 not toxic, 1 toxic) given an unseen class, fitted by EM. Labels are no votes:
+    the posterior of a row comes from its votes alone, whether its class is known or not.
 
-    table: np.ndarray  # voter, class, vote (-1, 0, 1 as 0, 1, 2)
-    weight: np.ndarray
+    Correlations are a tree over the voters: each vote depends on the class and on the vote of the
+    voter that it is tied to most, if it is tied to any (mutual information given the class). So two
+    voters that say the same count as little more than one. The accuracies are in the tables.
+    """
+
+    parent: np.ndarray  # of each voter, the voter it is tied to, or -1
+    table: np.ndarray  # voter, class, parent's vote, vote (-1, 0, 1 as 0, 1, 2)
     prior: float
 
     @classmethod
-    def fit(cls, votes: np.ndarray, start: np.ndarray, rounds: int = 25) -> LabelModel:
-        n, m = votes.shape
-        hot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
-        # Correlations that the classes of the start do not explain, once.
-        given = np.stack([hot[start == c].mean(axis=0) for c in (0, 1)])[start]
-        rest = (hot - given)[:, :, 2] - (hot - given)[:, :, 1]
-        scale = rest.std(axis=0)
-        rest = np.where(scale > 1e-3, rest / np.maximum(scale, 1e-3), 0)
-        corr = np.abs(rest.T @ rest) / n
-        np.fill_diagonal(corr, 0)
-        weight = 1 / (1 + np.where(corr > 0.1, corr, 0).sum(axis=1))
-        post = start.astype(float)
-        for _ in range(rounds):
-            both = np.stack([1 - post, post], axis=1)
-            table = np.einsum("nc,nmv->mcv", both, hot) + 0.5
-            table /= table.sum(axis=2, keepdims=True)
-            model = cls(table, weight, float(np.clip(post.mean(), 1e-3, 1 - 1e-3)))
-            new = model.posterior(votes)
-            if np.abs(new - post).max() < 1e-4:
+    def fit(cls, votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> LabelModel:
+        """start: P(toxic) of the first rows, whose classes are known; the others' classes are estimated."""
+        m, given, all_votes = votes.shape[1], len(start), votes
+        votes = votes[:given]
+        hot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).reshape(given, 3 * m).astype(float)
+        post, parent = start.astype(float), np.full(m, -1)
+        for k in range(rounds):
+            joint = np.stack([hot.T @ (w[:, None] * hot) for w in (1 - post, post)]).reshape(2, m, 3, m, 3).transpose(1, 3, 0, 2, 4)
+            if k in (0, 2, 5):
+                parent = cls._tree(joint)
+            table = np.stack([joint[p, i] if p >= 0 else np.repeat(np.einsum("caa->ca", joint[i, i])[:, None, :], 3, axis=1) for i, p in enumerate(parent)]) + 0.5
+            table /= table.sum(axis=3, keepdims=True)
+            model = cls(parent, table, float(np.clip(post.mean(), 1e-3, 1 - 1e-3)))
+            if not k:
+                votes = all_votes
+                hot = np.stack([votes == v for v in (-1, 0, 1)], axis=2).reshape(len(votes), 3 * m).astype(float)
+            new = np.concatenate([start, model.posterior(votes[given:])])
+            if k > 5 and np.abs(new - post).max() < 1e-4:
                 break
             post = new
         return model
 
+    @staticmethod
+    def _tree(joint: np.ndarray) -> np.ndarray:
+        """The parent of each voter in the heaviest forest of ties of TIED or more."""
+        m = len(joint)
+        p = joint + 1e-9
+        p = p / p.sum(axis=(2, 3, 4), keepdims=True)
+        given = p / p.sum(axis=(3, 4), keepdims=True)
+        info = (p * np.log(given / (given.sum(axis=4, keepdims=True) * given.sum(axis=3, keepdims=True)))).sum(axis=(2, 3, 4))
+        np.fill_diagonal(info, -1)
+        parent, inside, best, of = np.full(m, -1), np.zeros(m, bool), np.full(m, -1.0), np.full(m, -1)
+        for _ in range(m):
+            i = int(np.where(inside, -2, best).argmax())
+            inside[i] = True
+            parent[i] = of[i] if best[i] >= TIED else -1
+            nearer = ~inside & (info[i] > best)
+            best[nearer], of[nearer] = info[i][nearer], i
+        return parent
+
+    def accuracies(self) -> np.ndarray:
+        """Of each voter, P(vote toxic | toxic) and P(vote toxic | not), for the likeliest vote it depends on (none)."""
+        return self.table[:, ::-1, 0, 2]
+
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        odds = np.log(self.table[:, 1] / self.table[:, 0])
-        total = np.log(self.prior / (1 - self.prior)) + (odds[np.arange(votes.shape[1]), votes + 1] * self.weight).sum(axis=1)
+        above = np.where(self.parent >= 0, votes[:, self.parent], -1) + 1
+        odds = np.log(self.table[:, 1] / self.table[:, 0])[np.arange(votes.shape[1]), above, votes + 1]
+        total = np.log(self.prior / (1 - self.prior)) + odds.sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
@@ -134,10 +178,14 @@ class Model:
         return id_text(docs).mapInArrow(run, "doc_id long, score double")
 
 
+def _least(ids: DataFrame, n: int) -> DataFrame:
+    return ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+
+
 def _sample(labels: DataFrame) -> DataFrame:
     known = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic")).filter("toxic is not null and doc_id is not null")
     known = known.filter(~is_held_out(F.col("doc_id")))
-    some = [known.filter(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c, n in ((1, TOXIC_ROWS), (0, OTHER_ROWS))]
+    some = [_least(known.filter(F.col("toxic") == c), n) for c, n in ((1, TOXIC_ROWS), (0, OTHER_ROWS))]
     return some[0].union(some[1]).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
 
 
@@ -156,6 +204,24 @@ def _features(docs: DataFrame, sample: DataFrame) -> list:
     return id_text(docs).join(F.broadcast(sample), "doc_id").select("toxic", "text").mapInArrow(run, "toxic int, features binary, votes binary").collect()
 
 
+def _plain(docs: DataFrame, columns: np.ndarray) -> list:
+    """Of PLAIN_ROWS rows at most, whatever their labels: the columns they have (as bits), pattern votes."""
+    wanted = {int(c) // LEVELS for c in columns}
+
+    def run(batches):
+        known: dict[str, tuple[int, ...]] = {}
+        for batch in batches:
+            rows = []
+            for text in batch.column("text").to_pylist():
+                own = np.sort(np.array(features(text, known, wanted), np.uint32))
+                rows.append((np.packbits(_presence([own], columns)[0]).tobytes(), bytes(v + 1 for v in patterns(text))))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)], names=["bits", "votes"])
+
+    ids = id_text(docs).select("doc_id").filter(F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id"))).distinct()
+    some = F.broadcast(_least(ids, PLAIN_ROWS))  # PLAIN_ROWS numbers
+    return id_text(docs).join(some, "doc_id", "left_semi").select("text").mapInArrow(run, "bits binary, votes binary").limit(2 * PLAIN_ROWS).collect()
+
+
 def _presence(rows: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
     """Which of the columns each row has."""
     out = np.zeros((len(rows), len(columns)), bool)
@@ -181,49 +247,99 @@ def _logistic(x: np.ndarray, target: np.ndarray, rounds: int = 300, decay: float
     return w, b
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn from the labelled rows that are not held out, TOXIC_ROWS + OTHER_ROWS of them at most.
+def _association(c1: np.ndarray, c0: np.ndarray, n1: int, n0: int) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds of features in c1 of n1 and c0 of n0 rows, and their association as the signed root of
+    the likelihood ratio, so that chance finds of rare features rank low."""
+    odds = np.log((c1 + 0.5) / (n1 + 1)) - np.log((c0 + 0.5) / (n0 + 1))
+    part = (c1 + c0) / (n1 + n0)
+    ratio = sum(c * np.log(np.maximum(c, 1) / np.maximum(n * part, 1e-9)) for c, n in ((c1, n1), (c0, n0)))
+    return odds, np.sign(odds) * np.sqrt(2 * np.maximum(ratio, 0))
+
+
+def _mine(toxic_rows: list[np.ndarray], every: np.ndarray, odds: np.ndarray, c0: np.ndarray, n0: int) -> list[np.ndarray]:
+    """Sets of indicators. Each round takes those that are most typical of the toxic rows in which the
+    rounds before found fewer than two, so that rare languages get theirs too; all have high odds over
+    all toxic rows, as the words of a language as such do not."""
+    left, out = np.ones(len(toxic_rows), bool), []
+    for _ in range(MINED):
+        rows = [f for f, x in zip(toxic_rows, left, strict=True) if x]
+        if not rows:
+            break
+        u, n = np.unique(np.concatenate(rows), return_counts=True)
+        c1 = np.zeros(len(every), int)
+        at = np.searchsorted(every, u)
+        at[at == len(every)] = 0
+        known = every[at] == u
+        c1[at[known]] = n[known]
+        _, sure = _association(c1, c0, len(rows), n0)
+        ranked = np.flatnonzero((odds > 2.5) & (sure > 4))
+        best = every[ranked[np.argsort(-sure[ranked], kind="stable")][: INDICATORS // MINED]].astype(np.int64)
+        if not len(best):
+            break
+        each = VOTERS // MINED
+        out += [best[k::each] for k in range(each)]
+        left &= _presence(toxic_rows, np.sort(best)).sum(axis=1) < 2
+    return out
+
+
+def _votes(has, indicators: list[np.ndarray], pattern: np.ndarray) -> np.ndarray:
+    """Each row's votes; has(columns) tells which of the features the rows have.
 
-    Voters: everyday insults (two), indicators mined from the labelled rows (words and beginnings of
-    words, dealt to VOTERS voters), the lack of any, three patterns of spelling, and the labels
-    themselves. The label model weighs them; the classifier is fitted to its posteriors. Without
-    labelled rows of both classes, or if no feature tells them apart, the insults alone decide.
+    A voter for each half of a language's insults and for each of VOTERS sets of mined indicators votes
+    toxic or not at all; so do those for words of two insult lexicons and of two sets, and three patterns
+    of spelling. One voter votes not toxic where no lexicon has a word of the text.
+    """
+    halves = [has(np.array(sorted({word_keys(w)[0] * LEVELS for w in some[k::2]}))) for some in INSULTS.values() for k in (0, 1)]
+    sets = [has(np.sort(some)) for some in indicators if len(some)]
+    two = lambda some: sum((h.any(axis=1).astype(int) for h in some), np.zeros(len(pattern), int)) > 1
+    hit = [h.any(axis=1) for h in halves + sets]
+    many = [two(halves), two(sets)]
+    none = np.where(np.any(hit, axis=0), -1, 0)
+    return np.stack([*[np.where(h, 1, -1) for h in hit + many], *pattern.T, none], axis=1)
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """Learn from TOXIC_ROWS + OTHER_ROWS labelled rows and PLAIN_ROWS others at most, none held out.
+
+    Labels serve to mine indicators (words and beginnings of words), to choose the classifier's features
+    and, with the classes that EM gives the other rows, to estimate the voters' accuracies and ties. The
+    classifier is fitted to the posteriors of the votes of all these rows, not to labels. Without labelled
+    rows of both classes, or if no feature tells them apart, the insults alone decide. Null texts are
+    empty, null doc_ids are not learned from, repeated rows count each, an empty table gives the
+    insults; texts are read whole.
     """
     rows = _features(docs, _sample(labels))
     toxic = np.array([r["toxic"] for r in rows], int)
-    insults_alone = Model({word_keys(w)[0] * LEVELS: 5.0 for w in INSULTS}, -3.0)
+    insults_alone = Model({word_keys(w)[0] * LEVELS: 5.0 for some in INSULTS.values() for w in some}, -3.0)
     if not 0 < toxic.sum() < len(toxic):
         return insults_alone
-    found = [np.frombuffer(r["features"], "<u4").astype(np.int64) for r in rows]
+    found = [np.frombuffer(r["features"], "<u4") for r in rows]
+    pattern = np.array([list(r["votes"]) for r in rows], int) - 1
+    del rows
     n1, n0 = int(toxic.sum()), int((toxic == 0).sum())
-    every, counts = np.unique(np.concatenate(found), return_counts=True)
-    every = every[counts >= 5]
-    of = lambda k: np.unique(np.concatenate([every, *[f for f, t in zip(found, toxic, strict=True) if t == k]]), return_counts=True)
-    c1, c0 = (c[np.searchsorted(u, every)] - 1 for u, c in (of(1), of(0)))
-    odds = np.log((c1 + 0.5) / (n1 + 1)) - np.log((c0 + 0.5) / (n0 + 1))
-    # Association as the signed root of the likelihood ratio, so that chance finds of rare features
-    # rank low.
-    part = (c1 + c0) / (n1 + n0)
-    ratio = sum(c * np.log(np.maximum(c, 1) / (n * part)) for c, n in ((c1, n1), (c0, n0)))
-    sure = np.sign(odds) * np.sqrt(2 * np.maximum(ratio, 0))
-    ranked = np.flatnonzero((odds > 2.5) & (sure > 4))
-    indicators = every[ranked[np.argsort(-sure[ranked], kind="stable")][:INDICATORS]]
-    insults = np.array([word_keys(w)[0] * LEVELS for w in INSULTS])
-    votes = [np.where(_presence(found, np.sort(insults[k::2])).any(axis=1), 1, -1) for k in (0, 1)]
-    hits = [_presence(found, np.sort(indicators[k::VOTERS])).any(axis=1) for k in range(min(VOTERS, len(indicators)))]
-    votes += [np.where(h, 1, -1) for h in hits]
-    any_hit = np.any([v == 1 for v in votes], axis=0)
-    votes.append(np.where(any_hit, -1, 0))
-    votes += list(np.array([list(r["votes"]) for r in rows], int).T - 1)
-    votes.append(toxic)
-    table = np.stack(votes, axis=1)
-    label_model = LabelModel.fit(table, toxic)
-    target = label_model.posterior(table)
+    of = [np.unique(np.concatenate([f for f, t in zip(found, toxic, strict=True) if t == k]), return_counts=True) for k in (0, 1)]
+    every = np.union1d(of[0][0], of[1][0])
+    c0, c1 = np.zeros(len(every), int), np.zeros(len(every), int)
+    for c, (u, n) in ((c0, of[0]), (c1, of[1])):
+        c[np.searchsorted(every, u)] = n
+    some = c0 + c1 >= 4
+    every, c0, c1 = every[some], c0[some], c1[some]
+    odds, sure = _association(c1, c0, n1, n0)
+    indicators = _mine([f for f, t in zip(found, toxic, strict=True) if t], every, odds, c0, n0)
     usable = np.flatnonzero(np.abs(sure) > 3)
-    columns = np.sort(every[usable[np.argsort(-np.abs(sure[usable]), kind="stable")][:WEIGHTED]])
+    columns = every[usable[np.argsort(-np.abs(sure[usable]), kind="stable")][:WEIGHTED]].astype(np.int64)
+    columns = np.unique(np.concatenate([columns, *indicators]))
     if not len(columns):
         return insults_alone
-    w, b = _logistic(_presence(found, columns), target)
+    insults = [word_keys(w)[0] * LEVELS for words in INSULTS.values() for w in words]
+    looked = np.unique(np.concatenate([columns, insults]))
+    plain = _plain(docs, looked)
+    bits = np.unpackbits(np.array([list(r["bits"]) for r in plain], np.uint8).reshape(len(plain), -1), axis=1)[:, : len(looked)].astype(bool)
+    pattern = np.concatenate([pattern, np.array([list(r["votes"]) for r in plain], int).reshape(len(plain), pattern.shape[1]) - 1])
+    has = lambda x: np.concatenate([_presence(found, x), bits[:, np.searchsorted(looked, x)]])
+    votes = _votes(has, indicators, pattern)
+    label_model = LabelModel.fit(votes, toxic)
+    w, b = _logistic(has(columns), label_model.posterior(votes))
     return Model({int(c): float(x) for c, x in zip(columns, w, strict=True) if abs(x) > 1e-3}, b, label_model)
 
 
