@@ -68,6 +68,12 @@ TITLES = {
     "BSD-2-Clause": ("BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License'),
     "BSD-3-Clause": ("BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License'),
     "Unlicense": ("The Unlicense", "Unlicense"),
+    "Zlib": ("zlib License", "The zlib License"),
+    "0BSD": ("Zero-Clause BSD", "BSD Zero Clause License"),
+    "MIT-0": ("MIT No Attribution", "MIT-0 License"),
+    "WTFPL": ("DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE\nVersion 2, December 2004",),
+    "PostgreSQL": ("PostgreSQL License", "The PostgreSQL License"),
+    "X11": ("X11 License",),
 }
 #: The end of the terms in texts that explain afterwards how to apply them; files have that part or not.
 TERMS_END = "END OF TERMS AND CONDITIONS"
@@ -111,11 +117,12 @@ def scan(docs: DataFrame, known: DataFrame | None = None, broadcast_rows: int =
 
     The whole text, and each of its canonical lines as a text of its own, is looked up by digest in
     the known texts; a licence is named only where the entire text or line is equal to a known one.
-    A null, empty or purely typographical text has the digest of the empty text and no licence; null
+    A known text that is given twice counts once, under the first of its names. Whole texts of any length
+    are read; a null, empty or purely typographical text has the digest of the empty text and no licence; null
     doc_ids and repeated rows are scanned each; an empty table gives no rows.
     """
     known = known_licenses(docs.sparkSession) if known is None else known
-    known = known.select(known["digest"].alias("k"), known["license"].alias("l"))
+    known = known.groupBy(known["digest"].alias("k")).agg(F.min(known["license"]).alias("l"))
     known = F.broadcast(known) if known.limit(broadcast_rows + 1).count() <= broadcast_rows else known
     at = id_text(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), canonical(F.col("text")).alias("c"))
     whole = F.array(F.struct(F.sha2(one_line(F.col("c")), 256).alias("digest"), F.lit(True).alias("whole")))

@@ -482,3 +482,23 @@ def test_whole_licences(spark):
     given += [("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, X\nAll rights reserved.\n\n" + (folder / "BSD-3-Clause.txt").read_text())]
     docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(given)], "doc_id long, text string")
     assert {r["doc_id"]: r["text_license"] for r in licenses.scan(docs).collect()} == {k: name for k, (name, _) in enumerate(given)}
+
+
+def test_variants_of_whole_licences(spark):
+    """Upper case, other wrapping, quotes, spelling and a statement on top make no difference; a word does."""
+    texts = [(p.stem, p.read_text()) for p in sorted((Path(licenses.__file__).parent / "license_texts").glob("*.txt"))]
+    assert len(texts) >= 24
+    given = []
+    for name, t in texts:
+        given += [(name, t.upper()), (name, "Copyright (c) 1999-2024 Some One <one@example.org>\n\n" + t), (name, t.replace('"', "“").replace("license", "licence").replace("License", "Licence"))]
+        given += [(name, "\r\n".join(line + "  " for line in t.split("\n")))]
+        if not re.search(r"(?im)^\W*(copyright|\(c\)|all rights)", t):
+            given.append((name, " ".join(t.split())))
+        given.append((None, t + "\nAnd more."))
+        given.append((None, re.sub(r"\b(software|work|document|package|file|DO)\b", "thing", t, count=1, flags=re.IGNORECASE)))
+    docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(given)], "doc_id long, text string")
+    found = {r["doc_id"]: r["text_license"] for r in licenses.scan(docs).collect()}
+    assert {k: (found[k], name) for k, (name, _) in enumerate(given) if found[k] != name} == {}
+    twice = licenses.known_licenses(spark, (("A", "one text"),)).union(licenses.known_licenses(spark, (("B", "One text."),)))
+    got = licenses.scan(spark.createDataFrame([(1, "one text\n\none  TEXT")], "doc_id long, text string"), twice).collect()
+    assert [(r["line_licenses"], r["n_license_lines"]) for r in got] == [("A", 2)]
