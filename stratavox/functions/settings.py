@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 #: Section header, and the stage devices that each instrument writes.
 HEADER = r"\*{5} +\*{5} +\*{5} +([^*]+?) +\*{5} +\*{5} +\*{5}"
 DEVICES = {
-    "llsm": ("X Galvo", "Z Galvo", "Z PZT", "S Piezo"),
-    "mosaic": ("X Galvo", "Z Galvo", "Z PZT", "ISM Offset", "X Stage Offset", "XZ stage Offset"),
+    "lattice": ("X Galvo", "Z Galvo", "Z PZT", "S Piezo"),
+    "adaptive": ("X Galvo", "Z Galvo", "Z PZT", "ISM Offset", "X Stage Offset", "XZ stage Offset"),
 }
 
 
@@ -56,7 +56,7 @@ def general(documents: DataFrame) -> DataFrame:
     )
 
 
-def devices(documents: DataFrame, instrument: str = "llsm") -> DataFrame:
+def devices(documents: DataFrame, instrument: str = "lattice") -> DataFrame:
     """(dir, device, ch, offset, interval, n_pixels): the scan of each device and channel."""
     names = "|".join(DEVICES[instrument])
     pattern = rf"(?m)^(?:{names})[^\t\r\n]*\((\d+)\)\s*:\t[^\r\n]*"

@@ -109,7 +109,7 @@ def output_folder(stage: str) -> tuple[str, str]:
     return name.replace(".", "_"), tag
 
 
-def run(spark: SparkSession, config: str, instrument: str = "llsm", dry_run: bool = False, root: str | None = None) -> DataFrame:
+def run(spark: SparkSession, config: str, instrument: str = "lattice", dry_run: bool = False, root: str | None = None) -> DataFrame:
     """Process every acquisition below the configuration's root (or `root`) that the log does not hold.
 
     Files of one acquisition, laser, step and size share a plan and run as one DataFrame. Outputs go
@@ -172,7 +172,7 @@ def _write(plan: Plan, planes: DataFrame, files: DataFrame, folder: str, tag: st
     tiff.write_stacks(planes, folder, names=wanted, overwrite=plan.overwrite, skip=not plan.overwrite, dtype=dtype, spacing=(res, res, step))
 
 
-def explain(config: str, instrument: str = "llsm") -> str:
+def explain(config: str, instrument: str = "lattice") -> str:
     """The stages of a configuration and their parameters, as a command for each."""
     plan, given = parse_config(config, instrument), json.loads(config)
     lines = []

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from typing import Any
 
 #: Defaults by instrument.
-DEFAULTS = {"llsm": {"angle": 31.8, "xy-res": 0.104, "estimate": 10}, "mosaic": {"angle": 147.55, "xy-res": 0.108, "estimate": 250}}
+DEFAULTS = {"lattice": {"angle": 31.8, "xy-res": 0.104, "estimate": 10}, "adaptive": {"angle": 147.55, "xy-res": 0.108, "estimate": 250}}
 #: Options of each section, with the type each must have. A float must be written as one.
 OPTIONS: dict[str, dict[str, type]] = {
     "flatfield": {"xy-res": float, "bit-depth": int, "executable_path": str},
@@ -89,7 +89,7 @@ def _section(name: str, given: Any, plan: Plan, defaults: dict[str, Any]) -> dic
     return out
 
 
-def parse_config(text: str, instrument: str = "llsm") -> Plan:
+def parse_config(text: str, instrument: str = "lattice") -> Plan:
     """A Plan from JSON text; ConfigError says what is wrong. Absent bdv and bsub sections have defaults."""
     given = json.loads(text)
     if "root" not in given.get("paths", {}):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import math
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -15,6 +14,7 @@ from stratavox.functions import calibration, names, settings
 from stratavox.operators import decon, geometry, pixels
 from stratavox.plans import batch, fixtures, runner
 from stratavox.plans.config import parse_config
+from stratavox.shipping import shared_folder
 from stratavox.sources import tiff
 from stratavox.streaming import incremental
 from stratavox.types import Grid, planes_of, voxels
@@ -33,9 +33,8 @@ def _r(c: Column | str, n: int = 6) -> Column:
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder: in the cluster's shared folder if it names one."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared}/stratavox-{uuid.uuid4().hex}" if shared else f"file://{tempfile.mkdtemp(prefix='stratavox-')}"
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/stratavox-{uuid.uuid4().hex}"
 
 
 def _q(sql: str = ""):
@@ -671,7 +670,7 @@ def settings_sections(spark, sf):
 
 @_q(f"SELECT dir, device, ch, off AS \"offset\", iv AS interval, n_pixels FROM {_DIRS}, (VALUES ('x-galvo', 0, 0::DOUBLE, 0.1::DOUBLE, 51), ('x-stage-offset', 0, 5, 0.4, 501), ('x-stage-offset', 1, 5, 0.4, 501), ('x-stage-offset', 2, 5, 0.5, 401)) AS t(device, ch, off, iv, n_pixels)")
 def settings_devices(spark, sf):
-    return settings.devices(fixtures.settings(spark), "mosaic")
+    return settings.devices(fixtures.settings(spark), "adaptive")
 
 
 @_q(f"SELECT dir, laser_idx, ch, filter, laser, power, exp FROM {_DIRS}, (VALUES (0, 0, 'N/A', 488, 10::DOUBLE, 10::DOUBLE), (3, 1, 'N/A', 560, 10, 20), (6, 2, 'N/A', 488, 12, 20), (7, 2, 'N/A', 642, 30, 20)) AS t(laser_idx, ch, filter, laser, power, exp)")
@@ -681,7 +680,7 @@ def settings_lasers(spark, sf):
 
 @_q(f"WITH {_NAMES} SELECT event_id, channel, [0.4, 0.4, 0.5][channel + 1]::DOUBLE AS step, round(abs([0.4, 0.4, 0.5][channel + 1]::DOUBLE * sin(radians(31.8::DOUBLE))), 6) AS z_step FROM p")
 def step_lookup(spark, sf):
-    at = settings.steps(_parsed(spark, sf), settings.devices(fixtures.settings(spark), "mosaic"))
+    at = settings.steps(_parsed(spark, sf), settings.devices(fixtures.settings(spark), "adaptive"))
     at = at.join(settings.general(fixtures.settings(spark)).select("dir", "z_motion"), "dir")
     return at.select("event_id", "channel", "step", _r(settings.z_step(F.col("step"), ANGLE, F.col("z_motion"))).alias("z_step"))
 
@@ -694,7 +693,7 @@ def capture_time(spark, sf):
 
 @_q("SELECT count(DISTINCT iv) = 1 AS all_equal FROM (VALUES (0.4), (0.4), (0.5)) AS t(iv)")
 def steps_all_equal(spark, sf):
-    at = settings.devices(fixtures.settings(spark), "mosaic").filter("device = 'x-stage-offset'")
+    at = settings.devices(fixtures.settings(spark), "adaptive").filter("device = 'x-stage-offset'")
     return at.agg((F.countDistinct("interval") == 1).alias("all_equal"))
 
 

@@ -17,6 +17,18 @@ BATCH_ROWS = 1024
 BATCH_BYTES = 4 << 20
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one where Spark runs in this
+    process alone, as in tests. Elsewhere the setting is required: a machine's own folder is not shared."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if given:
+        return given
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+    return "file://" + tempfile.mkdtemp(prefix="stratavox-")
+
+
 def ship(spark: SparkSession) -> None:
     """Add the package's sources to the application, once, so that workers on any machine import it,
     and bound the Arrow and Parquet batches of sessions that do not bound them themselves."""

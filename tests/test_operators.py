@@ -131,7 +131,7 @@ def test_config_errors(given, why):
 
 
 def test_config_defaults_and_warnings():
-    plan = parse_config(json.dumps({"paths": {"root": "/r"}, "deskew": {"typo": 1}, "mip": {"x": True, "z": True}}), "mosaic")
+    plan = parse_config(json.dumps({"paths": {"root": "/r"}, "deskew": {"typo": 1}, "mip": {"x": True, "z": True}}), "adaptive")
     assert plan.deskew == {"angle": 147.55, "xy-res": 0.108, "fill": 0.0, "bit-depth": 16}
     assert plan.mip == "xz" and plan.overwrite and not plan.bdv_save
     assert plan.warnings == ["deskew.typo is not known and does not count"]
