@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import tempfile
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratavox.shipping import ship
+from stratavox.shipping import shared_folder, ship
 
 #: The six characters that separate words everywhere here: space, tab, \n, \v, \f, \r.
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
@@ -35,11 +34,11 @@ def id_text(docs: DataFrame, binary: bool = False) -> DataFrame:
 def settle(df: DataFrame) -> DataFrame:
     """Checkpoint df eagerly in the cluster's shared folder (spark.checkpoint.dir).
 
-    Only where that setting is absent, as in tests, a temporary folder is set.
+    Only where that setting is absent and all runs in this process, as in tests, a temporary folder is set.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stratavox-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -80,7 +80,8 @@ def measure(docs: DataFrame, carry: bool = False) -> DataFrame:
 
 
 def ledger(docs: DataFrame, rules: tuple[Rule, ...] = RULES, carry: bool = False) -> DataFrame:
-    """measure()'s rows and `failed`: a long whose bit b is set where the rule of bit b fails."""
+    """measure()'s rows and `failed`: a long whose bit b is set where the rule of bit b fails. Rows without
+    words fail few_words alone; nulls, repeated rows, empty tables and names as in measure()."""
     bits = [F.when(F.expr(r.fails), F.lit(1 << r.bit)).otherwise(0).cast("long") for r in rules]
     failed: Column = bits[0]
     for b in bits[1:]:
@@ -106,11 +107,14 @@ def ablations(book: DataFrame, policy: str, rules: tuple[Rule, ...] = RULES) ->
 
 
 def verdicts(docs: DataFrame, policy: str = "strict-1", base: str = "base-1") -> DataFrame:
-    """doc_id, the measurements, failed, base_failed and kept."""
+    """doc_id, the measurements, failed, base_failed and kept, for every row; nulls, repeated rows, empty
+    tables and names as in measure()."""
     book = apply_policy(ledger(docs), policy)
     return book.withColumn("base_failed", F.col("failed").bitwiseAND(F.lit(POLICIES[base])) != 0)
 
 
 def keep(docs: DataFrame, policy: str = "strict-1") -> DataFrame:
-    """The rows of docs, all columns, that no rule of the policy rejects; no shuffle."""
+    """The rows of docs, all columns whatever their names, that no rule of the policy rejects; no shuffle.
+    Null and empty texts are rejected by few_words; repeated rows and null doc_ids are judged each; an
+    empty table gives no rows."""
     return apply_policy(ledger(docs, carry=True), policy).filter("kept and fence >= 0").select("row.*")

@@ -495,7 +495,7 @@ def test_variants_of_whole_licences(spark):
         if not re.search(r"(?im)^\W*(copyright|\(c\)|all rights)", t):
             given.append((name, " ".join(t.split())))
         given.append((None, t + "\nAnd more."))
-        given.append((None, re.sub(r"\b(software|work|document|package|file|DO)\b", "thing", t, count=1, flags=re.IGNORECASE)))
+        given.append((None, re.sub(r"\b(the|of|to)\b", "thing", t, flags=re.IGNORECASE)))
     docs = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(given)], "doc_id long, text string")
     found = {r["doc_id"]: r["text_license"] for r in licenses.scan(docs).collect()}
     assert {k: (found[k], name) for k, (name, _) in enumerate(given) if found[k] != name} == {}
