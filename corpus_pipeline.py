@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 import public_tokenizers
@@ -11,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavox.llm import lines, packing, quality, simhash, suffixes
+from stratavox.shipping import shared_folder
 
 #: Whether a document survives the near-duplicate stages depends on all others, by components and
 #: by hashes that SQL does not offer; the tests hold the stages against brute force.
@@ -28,22 +27,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that 10 documents or more share go; documents stay."""
+    """Lines that 10 documents or more share go; documents stay. Nulls, ties, repeated rows, empty tables and
+    clashing names: see lines.drop_common_lines()."""
     return _counted(lines.drop_common_lines(docs, least_docs=10).select(*docs.columns))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, similarity 0.8."""
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8. Nulls, ties,
+    repeated rows, empty tables and clashing names: see simhash.one_of_each()."""
     return simhash.one_of_each(docs, words=5, similar=True)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes go that a repeated string of 200 bytes covers; documents stay."""
+    """Bytes go that a repeated string of 200 bytes covers; documents stay. Nulls, repeated rows, empty tables
+    and clashing names: see suffixes.without_repeats()."""
     return _counted(suffixes.without_repeats(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in sequences of 2048 tokens."""
+    """Pieces of the documents and their places in sequences of 2048 tokens. Nulls, repeated rows and empty
+    tables: see packing.pack()."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
@@ -58,8 +61,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written as Parquet in the cluster's shared folder and read again."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stratavox-")
-    out = os.path.join(shared, f"pipeline-{uuid.uuid4().hex}")
+    out = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
