@@ -261,3 +261,12 @@ def drop_common_lines(docs: DataFrame, least_docs: int = 10, least_chars: int =
     are added, in place of columns of that name.
     """
     return LineIndex.of(docs, least_docs, least_chars).clean(docs)
+
+
+def without_common_lines(docs: DataFrame, least_docs: int = 10, least_chars: int = 1) -> DataFrame:
+    """drop_common_lines() with the columns of docs alone, whatever their names."""
+    # Columns by position, so that none of docs' names can clash with an added one.
+    places = {("doc_id" if c == "doc_id" else f"c{k}"): c for k, c in enumerate(docs.columns) if c != "text"}
+    kept = drop_common_lines(docs.select(*[docs[f"`{c}`"].alias(p) for p, c in places.items()], "text"), least_docs, least_chars)
+    by = {c: p for p, c in places.items()}
+    return kept.select(*[F.col(by.get(c, "text")).alias(c) for c in docs.columns])

@@ -126,7 +126,7 @@ def set_prints(docs: DataFrame, words: int) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, words: int = 3, copies: int = 1) -> DataFrame:
-    """doc_id, f0 ... as signed longs, of every whole text; a text without words has zeros."""
+    """doc_id, f0 ... and mark (text_mark) as signed longs, of every whole text; a text without words has zeros."""
     names = [f"f{k}" for k in range(copies)]
 
     def run(batches):
@@ -134,9 +134,11 @@ def fingerprints(docs: DataFrame, words: int = 3, copies: int = 1) -> DataFrame:
             for doc_ids, texts in slices(batch):
                 prints = [majority(np.array(shingle_hashes(t, words), np.uint64), copies) for t in texts]
                 columns = np.array(prints, np.uint64).view(np.int64).reshape(-1, copies).T
-                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), *[pa.array(np.ascontiguousarray(c)) for c in columns]], names=["doc_id", *names])
+                marks = np.array([xxhash.xxh64_intdigest(t, SEED) for t in texts], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), *[pa.array(np.ascontiguousarray(c)) for c in columns], pa.array(marks)], names=["doc_id", *names, "mark"])
+        release()
 
-    return id_text(docs, binary=True).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
+    return id_text(docs, binary=True).mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names) + ", mark long")
 
 
 def _compare(values: np.ndarray, side: np.ndarray, radius: int, wide: int | None) -> list[tuple[int, int]]:
@@ -379,6 +381,17 @@ def similar_classes(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     return prints, kinds.join(classes, "node", "left").select(*names, "d0", "d1", "first", F.coalesce("component", "node").alias("class"))
 
 
+def print_classes(docs: DataFrame, words: int, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, kinds): fingerprints() of every row, and of each f0 the first (doc_id, mark) and its class."""
+    prints = settle(fingerprints(docs, words))
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "mark"))
+    kinds = prints.groupBy("f0").agg(F.min(named).alias("first")).filter("first is not null")
+    # Different texts can share a doc_id: a node is the number of a kind.
+    kinds = settle(kinds.withColumn("node", F.monotonically_increasing_id()))
+    classes = components(links(kinds.select("node", "f0"), radius))
+    return prints, kinds.join(classes, "node", "left").select("f0", "first", F.coalesce("component", "node").alias("class"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, similar: bool = False) -> DataFrame:
     """doc_id, f0 and component_id (the smallest doc_id reachable by links) of every document.
 
@@ -396,23 +409,22 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, similar: b
         least = kinds.groupBy("class").agg(F.min("first.doc_id").alias("component_id"))
         key = ["f0", "f1", "f2", "f3", "d0", "d1"]
         return prints.join(kinds.join(least, "class").select(*key, "component_id"), key, "left").select("doc_id", "f0", "component_id")
-    prints = settle(fingerprints(docs, words))
-    kinds = settle(prints.groupBy("f0").agg(F.min("doc_id").alias("node")).filter("node is not null"))
-    classes = components(links(kinds, radius))
-    kinds = kinds.join(classes, "node", "left").select("f0", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(kinds, ["f0"], "left").select("doc_id", "f0", "component_id")
+    prints, kinds = print_classes(docs, words, radius)
+    least = kinds.groupBy("class").agg(F.min("first.doc_id").alias("component_id"))
+    return prints.join(kinds.join(least, "class").select("f0", "component_id"), ["f0"], "left").select("doc_id", "f0", "component_id")
 
 
 def one_of_each(docs: DataFrame, words: int = 5, similar: bool = True, radius: int = 2) -> DataFrame:
     """The rows of docs, all columns, with one document (the least doc_id, and of its texts the least
     text_mark) of each class of near_duplicates(). Different texts of one doc_id are told apart; of
-    repeated rows one stays; rows without a doc_id all stay."""
-    if similar:
-        kinds = similar_classes(docs, words)[1]
-        found = kinds.groupBy("class").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_kept_id"), F.col("first.mark").alias("_kept_mark"))
-        named = docs.filter(docs["doc_id"].isNotNull()).withColumn("_text_mark", text_mark(F.col("text")))
-        kept = named.join(found, (named["doc_id"] == found["_kept_id"]) & (named["_text_mark"] == found["_kept_mark"]), "left_semi").dropDuplicates(["doc_id", "_text_mark"]).drop("_text_mark")
-        return kept.unionByName(docs.filter(docs["doc_id"].isNull()))
-    found = near_duplicates(docs, words, radius).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    kept = docs.join(found, docs["doc_id"] == found["_kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(docs["doc_id"].isNull()))
+    repeated rows one stays; rows without a doc_id all stay; a null text is an empty one; column names
+    are free; an empty table gives no rows."""
+    kinds = (similar_classes(docs, words) if similar else print_classes(docs, words, radius))[1]
+    found = kinds.groupBy("class").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_kept_id"), F.col("first.mark").alias("_kept_mark"))
+    # Columns by position, so that none of docs' names can clash with an added one.
+    places = {f"c{k}": c for k, c in enumerate(docs.columns)}
+    rows = docs.select(*[docs[f"`{c}`"].alias(p) for p, c in places.items()])
+    own_id, text = (next(p for p, c in places.items() if c == name) for name in ("doc_id", "text"))
+    named = rows.filter(F.col(own_id).isNotNull()).withColumn("_text_mark", text_mark(F.col(text)))
+    kept = named.join(found, (named[own_id] == found["_kept_id"]) & (named["_text_mark"] == found["_kept_mark"]), "left_semi").dropDuplicates([own_id, "_text_mark"]).drop("_text_mark")
+    return kept.unionByName(rows.filter(F.col(own_id).isNull())).select(*[F.col(p).alias(c) for p, c in places.items()])

@@ -314,6 +314,9 @@ def test_simhash(docs, rows, empty):
     same([(r["doc_id"], r["f0"] & (2**64 - 1)) for r in got], known)
     assert all(r["component_id"] == wanted[r["doc_id"]] for r in got if r["doc_id"] is not None)
     assert simhash.near_duplicates(empty).count() == 0
+    three = docs.sparkSession.createDataFrame([(1, words(90, 70)), (1, words(90, 71)), (2, words(90, 72)), (2, words(90, 72))], "doc_id long, text string")
+    for similar in (True, False):
+        assert sorted(r["doc_id"] for r in simhash.one_of_each(three, similar=similar).collect()) == [1, 1, 2]
     kept = {r["doc_id"] for r in simhash.one_of_each(docs).collect()}
     assert 6 in kept and 7 not in kept and 8 in kept and 9 not in kept and {10, 11, 12, 13} <= kept
 
@@ -484,6 +487,34 @@ def test_whole_licences(spark):
     assert {r["doc_id"]: r["text_license"] for r in licenses.scan(docs).collect()} == {k: name for k, (name, _) in enumerate(given)}
 
 
+def test_very_long_texts(spark):
+    """A text of two million characters among short ones, against the plain computation of each operator."""
+    r = random.Random(21)
+    word = ["".join(r.choice("abcdeéü") for _ in range(r.randint(2, 8))) for _ in range(50_000)]
+    long = " ".join(r.choice(word) for _ in range(330_000))
+    assert len(long) > 1_800_000
+    rows = [(1, long), (2, "short"), (3, long[500_000:500_900]), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = {i: t or "" for i, t in rows}
+    one = lambda df: {x["doc_id"]: x for x in df.collect()}
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
+    ids = known.encode_ordinary(long)
+    assert one(bpe.encode_digests(docs, RANKS, public_tokenizers.PATTERN))[1]["ids_sha256"] == sha(np.array(ids, "<u4").tobytes())
+    plain = [*Tokenizer.from_file(WORDS).encode(long, add_special_tokens=False).ids, 0]
+    packed = sorted((x["piece"], x["ids_crc32"]) for x in packing.pack(docs, WORDS).collect() if x["doc_id"] == 1)
+    assert packed == [(k, zlib.crc32(np.array(plain[at : at + 2048], "<u4").tobytes())) for k, at in enumerate(range(0, len(plain), 2048))]
+    sketch = next(iter(plain_sketches(spark, [long])))
+    assert set(one(fingerprints.fingerprints(docs))[1]["sketch"]) == sketch
+    removed = one(suffixes.drop_repeats(docs))
+    b, part = long.encode(), texts[3].encode()
+    at = b.index(part)
+    assert bytes(removed[1]["kept"]) == b[:at] + b[at + len(part) :] and not removed[3]["kept"]
+    assert one(lines.drop_common_lines(docs))[1]["text"] == long
+    assert one(simhash.fingerprints(docs))[1]["f0"] & (2**64 - 1) == simple_print(long, 3)
+    assert one(quality.measure(docs))[1]["n_words"] == 330_000
+    assert one(licenses.scan(docs))[1]["digest"] == sha(long.lower().encode())
+
+
 def test_variants_of_whole_licences(spark):
     """Upper case, other wrapping, quotes, spelling and a statement on top make no difference; a word does."""
     texts = [(p.stem, p.read_text()) for p in sorted((Path(licenses.__file__).parent / "license_texts").glob("*.txt"))]

@@ -77,6 +77,32 @@ def test_run(spark, folder):
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and out.count() > 0
 
 
+NAMES = ("_text_mark", "_kept_id", "c0", "node", "carried", "kept", "spans", "n_lines", "keys", "row", "fence", "words")
+
+
+@pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
+def test_each_stage_with_odd_rows(spark, folder, name, stage):
+    """Nulls, empty, repeated and long texts, clashing names and an empty table, given to each stage itself."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in NAMES)
+    long = words(60_000, 31)
+    texts = [(None, None), (None, words(70, 32)), (1, None), (2, ""), (2, ""), (3, " \n\t"), (4, long), (5, words(80, 33)), (5, words(80, 33)), (5, words(80, 34)), (6, "é" * 300)]
+    docs = spark.createDataFrame([(i, t, None, None, None, *NAMES) for i, t in texts], schema)
+    out = stage(spark, docs, folder).collect()
+    ids = Counter(r["doc_id"] for r in out)
+    if name == "best_fit_packing":
+        assert set(ids) == {None, 1, 2, 3, 4, 5, 6} and max(r["length"] for r in out) <= 2048 and ids[4] > 20
+    else:
+        assert out[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars", *NAMES}
+        assert all(r[n] == n for r in out for n in NAMES)
+        assert ids == {
+            "quality_rules": Counter({None: 1, 4: 1, 5: 3}), "line_dedup": Counter(i for i, _ in texts),
+            "simhash_dedup": Counter({None: 2, 1: 1, 4: 1, 5: 2, 6: 1}), "suffix_dedup": Counter(i for i, _ in texts),
+        }[name]
+        if name != "suffix_dedup":
+            assert next(r["text"] for r in out if r["doc_id"] == 4) == long
+    assert stage(spark, docs.limit(0), folder).count() == 0
+
+
 def kept_ids(spark, rows) -> list:
     from stratavox.llm import simhash
 
