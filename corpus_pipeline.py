@@ -28,8 +28,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that 10 documents or more share go; documents stay. Nulls, ties, repeated rows, empty tables and
-    clashing names: see lines.drop_common_lines()."""
-    return _counted(lines.drop_common_lines(docs, least_docs=10).select(*docs.columns))
+    clashing names: see lines.without_common_lines()."""
+    return _counted(lines.without_common_lines(docs, least_docs=10))
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
