@@ -9,13 +9,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from .common import TwoGenerations, id_text, slices
+from .common import TwoGenerations, array_slices, gather, id_text, release
 
 #: Chunks of text whose ids a worker keeps, in each of two generations.
-CACHED = 250_000
+CACHED = 600_000
+#: Bytes of text that are looked up together.
+SLICE_BYTES = 4 << 20
 #: Bytes of different pieces that one replay takes at most, or one piece.
 REPLAY_BYTES = 1 << 16
 
@@ -149,25 +152,27 @@ class Codec:
         self.replay = MergeReplay(load_ranks(path))
         self.find = regex.compile(pattern).findall
         self.cache, self.pieces = TwoGenerations(CACHED), TwoGenerations(CACHED // 2)
-        self.spaced = regex.compile(r" {2}| \Z").search
 
     def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
         split = [self.find(c) for c in chunks]
         known = self.pieces.get_all({p for parts in split for p in parts}, lambda new: self.replay.encode([p.encode() for p in new]))
         return [b"".join([known[p] for p in parts]) for parts in split]
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
+    def encode_batch(self, texts: pa.StringArray) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit bytes. A single space starts a new chunk, which the
         pattern always splits alike; texts with runs or ends of spaces go through the pattern whole."""
-        chunks = []
-        for text in texts:
-            if self.spaced(text):
-                chunks.append(self.find(text))
-            else:
-                first, *rest = text.split(" ")
-                chunks.append([first, *[" " + c for c in rest]])
-        known = self.cache.get_all({c for parts in chunks for c in parts}, self._chunk_ids)
-        return [b"".join([known[c] for c in parts]) for parts in chunks]
+        odd = pc.match_substring_regex(texts, r" {2}| \z").to_numpy(zero_copy_only=False)
+        split = pc.split_pattern(pc.if_else(pa.array(~odd), texts, ""), " ")
+        borders = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+        chunks = split.flatten()
+        begins = np.zeros(len(chunks), bool)
+        begins[borders[:-1]] = True
+        chunks = pc.if_else(pa.array(begins), chunks, pc.binary_join_element_wise(" ", chunks, "")).dictionary_encode()
+        own = self.cache.get_list(chunks.dictionary.to_pylist(), self._chunk_ids)
+        ids, size = gather(np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), np.int64, len(own)) >> 2, chunks.indices.to_numpy())
+        data, ends = ids.tobytes(), (4 * np.concatenate([[0], np.cumsum(size)])[borders]).tolist()
+        whole = iter(self._chunk_ids([texts[i].as_py() for i in np.flatnonzero(odd).tolist()]))
+        return [next(whole) if o else data[a:b] for o, a, b in zip(odd.tolist(), ends, ends[1:], strict=False)]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.replay.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -188,9 +193,9 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches):
         c = codec(path, pattern)
         for batch in batches:
-            for doc_ids, texts in slices(batch):
+            for doc_ids, texts in array_slices(batch, SLICE_BYTES, batch.num_rows):
                 ids = c.encode_batch(texts)
-                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(ids, pa.binary()), pa.array([c.decode(x) for x in ids], pa.binary())], names=["doc_id", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([doc_ids, pa.array(ids, pa.binary()), pa.array([c.decode(x) for x in ids], pa.binary())], names=["doc_id", "ids", "decoded"])
 
     return id_text(docs).mapInArrow(run, "doc_id long, ids binary, decoded binary")
 
@@ -201,16 +206,17 @@ def encode_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches):
         c = codec(path, pattern)
         for batch in batches:
-            for doc_ids, texts in slices(batch):
+            for doc_ids, texts in array_slices(batch, SLICE_BYTES, batch.num_rows):
                 ids = c.encode_batch(texts)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(doc_ids, pa.int64()),
+                        doc_ids,
                         pa.array([len(x) // 4 for x in ids], pa.int64()),
                         pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
                         pa.array([hashlib.sha256(c.decode(x)).hexdigest() for x in ids]),
                     ],
                     names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
+        release()
 
     return id_text(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

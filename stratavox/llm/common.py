@@ -65,6 +65,14 @@ def slices(batch: pa.RecordBatch, most: int = CHUNK_BYTES, rows: int = CHUNK_ROW
         yield ids.to_pylist(), texts.to_pylist()
 
 
+def gather(ids: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs number at[0], at[1] ... of ids, whose runs have these sizes, and the sizes of those."""
+    first = np.cumsum(size) - size
+    n = size[at]
+    ends = np.cumsum(n)
+    return ids[np.repeat(first[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)], n
+
+
 def row_slices(batches, rows: int = 512):
     """Slices of the Arrow batches of a task, so that a worker holds the results of a few rows at a time."""
     for batch in batches:

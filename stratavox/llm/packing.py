@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import TwoGenerations, array_slices, id_text, release, settle
+from .common import TwoGenerations, array_slices, gather, id_text, release, settle
 
 #: Pieces of words whose ids a worker keeps, in each of two generations.
 CACHED_PIECES = 100_000
@@ -32,14 +32,6 @@ NOT_SPACE = re.compile(r"[\x1c-\x1f]")
 SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
-def _gather(ids: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The runs number at[0], at[1] ... of ids, whose runs have these sizes, and the sizes of those."""
-    first = np.cumsum(size) - size
-    n = size[at]
-    ends = np.cumsum(n)
-    return ids[np.repeat(first[at] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)], n
-
-
 class WordCodec:
     """Whole-text ids of a tokenizer that normalises and splits at white space and never across it."""
 
@@ -121,7 +113,7 @@ class WordCodec:
         at[np.repeat(~letters, count)] = [more[p] for own in cut for p in own]
         parts += more
         own = self.cache.get_list(parts, self._encode_parts)
-        ids, size = _gather(np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), np.int64, len(own)) >> 2, at)
+        ids, size = gather(np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), np.int64, len(own)) >> 2, at)
         return ids, np.diff(np.concatenate([[0], np.cumsum(size)])[ends], prepend=0)
 
     def _encode_text(self, text: str) -> bytes:
@@ -140,7 +132,7 @@ class WordCodec:
         plain = pc.if_else(pa.array(~odd), texts, "") if odd.any() else texts
         split = pc.utf8_split_whitespace(plain)
         words = split.flatten().dictionary_encode()
-        ids, size = _gather(*self._encode_words(words.dictionary), words.indices.to_numpy())
+        ids, size = gather(*self._encode_words(words.dictionary), words.indices.to_numpy())
         borders = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
         borders = (4 * np.concatenate([[0], np.cumsum(size)])[borders]).tolist()
         data = ids.tobytes()

@@ -78,7 +78,7 @@ def test_byte_bpe(docs, rows, empty):
     r = random.Random(5)
     for _ in range(3000):
         t = "".join(r.choice("aabc  \n\t'sé1²Ⅷ漢🎉_.,\x1c\x85　lythe") for _ in range(r.randint(0, 40)))
-        out = codec.encode_batch([t])[0]
+        out = codec.encode_batch(pa.array([t]))[0]
         assert np.frombuffer(out, "<u4").tolist() == known.encode_ordinary(t)
         assert codec.decode(out).decode() == t
 
