@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratavox.types import Grid, voxels
 
-from .geometry import deskew, deskew_geometry, paged, whole_volumes
+from .geometry import deskew, deskew_geometry, held_volumes, paged, whole_volumes
 
 #: A smaller denominator gives ratio 0.
 LEAST = 1e-5
@@ -50,11 +50,12 @@ def projected_landweber(a: np.ndarray, kernel: np.ndarray, iterations: int, alph
     return estimate[tuple(slice(lo, n - hi) for (lo, hi), n in zip(pad, image.shape, strict=True))]
 
 
-def deconvolve(planes: DataFrame, kernel: np.ndarray, iterations: int, subtract: float = 0.0) -> DataFrame:
+def deconvolve(planes: DataFrame, kernel: np.ndarray, iterations: int, subtract: float = 0.0, nz: int | None = None) -> DataFrame:
     """Richardson-Lucy for each volume of planes scaled to 0..1; first `subtract` counts of 16 bits
-    go, clamped to 0..1. The kernel is one small array and travels with the function."""
+    go, clamped to 0..1. The kernel is one small array and travels with the function. With nz, a volume
+    has nz pages: those it lacks count as 0 and are not returned."""
     c = subtract / 65535
-    return whole_volumes(planes, lambda a: richardson_lucy(np.clip(a - c, 0, 1) if c else a, kernel, iterations))
+    return held_volumes(planes, lambda a, held: (richardson_lucy(np.clip(a - c, 0, 1) if c else a, kernel, iterations), held), nz)
 
 
 def landweber(planes: DataFrame, kernel: np.ndarray, iterations: int, alpha: float) -> DataFrame:
@@ -76,11 +77,12 @@ def convolve(planes: DataFrame, kernel: np.ndarray) -> DataFrame:
 def deconvolve_bricks(planes: DataFrame, grid: Grid, kernel: np.ndarray, iterations: int, pages: int, subtract: float = 0.0) -> DataFrame:
     """deconvolve() in bricks of `pages` pages for volumes that do not fit a worker, with the same
     result. A brick comes with the pages that its result depends on, 2 * iterations kernel reaches on
-    either side, of the circle that the padded volume's pages form."""
+    either side, of the circle that the padded volume's pages form. Pages that a volume lacks count as 0
+    and are not returned."""
     reach = kernel.shape[0] // 2
     halo, around = 2 * iterations * reach, grid.nz + 2 * reach
     if pages + 2 * halo >= around:
-        return deconvolve(planes, kernel, iterations, subtract)
+        return deconvolve(planes, kernel, iterations, subtract, grid.nz)
     bricks, c = -(-grid.nz // pages), subtract / 65535
     z = F.col("z")
     place = F.sequence(F.when(z == 0, F.lit(0)).otherwise(z + reach), F.when(z == grid.nz - 1, F.lit(around - 1)).otherwise(z + reach))
@@ -89,7 +91,7 @@ def deconvolve_bricks(planes: DataFrame, grid: Grid, kernel: np.ndarray, iterati
     spots = F.flatten(F.transform(place, lambda p: F.transform(F.filter(every, lambda b: nth(p, b) < F.least(F.lit(pages), grid.nz - b * pages) + 2 * halo), lambda b: F.struct(b.alias("brick"), nth(p, b).alias("z")))))
     at = planes.select("image_id", "height", "width", "px", F.explode(spots).alias("s"))
     cut = at.select((F.col("image_id") * bricks + F.col("s.brick")).alias("image_id"), F.col("s.z").cast("int").alias("z"), "height", "width", "px")
-    done = whole_volumes(cut, lambda a: richardson_lucy(np.clip(a - c, 0, 1) if c else a, kernel, iterations, padded=True))
+    done = held_volumes(cut, lambda a, held: (richardson_lucy(np.clip(a - c, 0, 1) if c else a, kernel, iterations, padded=True), held), pages + 2 * halo)
     brick = F.pmod(F.col("image_id"), F.lit(bricks))
     inside = (z >= halo) & (z < halo + F.least(F.lit(pages), grid.nz - brick * pages))
     return done.filter(inside).select(F.floor(F.col("image_id") / bricks).alias("image_id"), (z - halo + brick * pages).cast("int").alias("z"), "height", "width", "px")
