@@ -112,7 +112,8 @@ def output_folder(stage: str) -> tuple[str, str]:
 def run(spark: SparkSession, config: str, instrument: str = "lattice", dry_run: bool = False, root: str | None = None) -> DataFrame:
     """Process every acquisition below the configuration's root (or `root`) that the log does not hold.
 
-    Files of one acquisition, laser, step and size share a plan and run as one DataFrame. Outputs go
+    Files of one acquisition, laser, step and page size share a plan and run as one DataFrame; a stack with
+    fewer pages than the longest of them ended early and lacks its last pages. Outputs go
     to <dir>/<stage>/ (projections: <dir>/<stage>/mip/) under the file's tagged name; existing ones are
     an error, or left as they are where the configuration says not to overwrite. An acquisition comes
     into <root>/processed.json when all its outputs are written. Lasers without a kernel or a flat frame,
@@ -123,7 +124,7 @@ def run(spark: SparkSession, config: str, instrument: str = "lattice", dry_run:
     base = root or plan.root
     files, last = planned(spark, base, plan)
     files = files.persist()
-    groups = files.groupBy("dir", "laser", "step", "pages", "height", "width", "dtype").agg(F.count("*").alias("n_files")).orderBy("dir", "laser").collect()
+    groups = files.groupBy("dir", "laser", "step", "height", "width", "dtype").agg(F.count("*").alias("n_files"), F.max("pages").alias("pages")).orderBy("dir", "laser").collect()
     missing = [g for g in groups if g["step"] is None] or [g for g in groups if (plan.decon or plan.decon_first) and str(g["laser"]) not in plan.psf] or [g for g in groups if plan.flatfield is not None and str(g["laser"]) not in plan.calibration]
     if missing:
         raise ConfigError(f"{missing[0]['dir']}: no step, kernel or flat frame for laser {missing[0]['laser']}")
@@ -131,7 +132,7 @@ def run(spark: SparkSession, config: str, instrument: str = "lattice", dry_run:
         return spark.createDataFrame([(g["dir"], g["laser"], g["n_files"], plan.explain()) for g in groups], "dir string, laser int, n_files long, stages string")
     dark = slice_of(spark, plan.calibration["dark"]) if plan.flatfield is not None else None
     for g in groups:
-        own = files.filter(F.col("dir") == g["dir"]).filter(F.col("laser").eqNullSafe(F.lit(g["laser"]))).filter((F.col("step") == g["step"]) & (F.col("pages") == g["pages"]) & (F.col("height") == g["height"]) & (F.col("width") == g["width"]) & (F.col("dtype") == g["dtype"]))
+        own = files.filter(F.col("dir") == g["dir"]).filter(F.col("laser").eqNullSafe(F.lit(g["laser"]))).filter((F.col("step") == g["step"]) & (F.col("height") == g["height"]) & (F.col("width") == g["width"]) & (F.col("dtype") == g["dtype"]))
         _process(spark, plan, g, own.select("path", "out", F.xxhash64("path").alias("image_id")), dark)
     now = files.groupBy("dir").agg(F.count("*").alias("n_files")).join(last, "dir").select("dir", F.current_timestamp().alias("time"), F.lit(plan.explain()).alias("stages"), "n_files", F.col("text").alias("settings"))
     done = spark.createDataFrame(now.collect(), LOG)  # a row for each acquisition

@@ -57,7 +57,7 @@ def run(plan: Plan, given: Inputs) -> dict[str, DataFrame]:
             kernel = given.psf if given.psf_spacing is None else decon.kernel_resampled(given.psf, given.psf_spacing, spacing)
             if skew:  # the kernel as the raw data are
                 kernel = decon.kernel_skewed(kernel, skew["angle"], given.step, skew["xy-res"], skew["fill"])
-            sharp = decon.deconvolve(unit(planes), kernel, s["n"], s["subtract"])
+            sharp = decon.deconvolve(unit(planes), kernel, s["n"], s["subtract"], grid.nz)
             result = counts(sharp, s["bit-depth"]), grid
         else:
             even, _ = geometry.isotropic(unit(planes), grid)
