@@ -62,16 +62,19 @@ def landweber(planes: DataFrame, kernel: np.ndarray, iterations: int, alpha: flo
     return whole_volumes(planes, lambda a: projected_landweber(a, kernel, iterations, alpha))
 
 
-def convolve(planes: DataFrame, kernel: np.ndarray) -> DataFrame:
-    """One convolution on the padded grid."""
+def convolve(planes: DataFrame, kernel: np.ndarray, nz: int | None = None) -> DataFrame:
+    """One convolution on the padded grid. With nz, a volume has nz pages: those it lacks count as 0, and
+    are returned where the kernel reaches them from others."""
 
-    def f(a: np.ndarray) -> np.ndarray:
+    def f(a: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         pad = [(n // 2, n // 2) for n in kernel.shape]
-        image = np.pad(a, pad, mode="edge")
+        image, there = np.pad(a, pad, mode="edge"), np.pad(held, pad[0], mode="edge")
         out = np.fft.irfftn(np.fft.rfftn(image) * padded_kernel(kernel, image.shape), image.shape, axes=(0, 1, 2))
-        return out[tuple(slice(lo, n - hi) for (lo, hi), n in zip(pad, image.shape, strict=True))]
+        r = pad[0][0]
+        near = np.any([np.roll(there, k - r) for k in range(kernel.shape[0])], axis=0)
+        return out[tuple(slice(lo, n - hi) for (lo, hi), n in zip(pad, image.shape, strict=True))], near[r : len(near) - r]
 
-    return whole_volumes(planes, f)
+    return held_volumes(planes, f, nz)
 
 
 def deconvolve_bricks(planes: DataFrame, grid: Grid, kernel: np.ndarray, iterations: int, pages: int, subtract: float = 0.0) -> DataFrame:
