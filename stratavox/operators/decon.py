@@ -38,15 +38,17 @@ def richardson_lucy(a: np.ndarray, kernel: np.ndarray, iterations: int, padded:
     return estimate[tuple(slice(lo, n - hi) for (lo, hi), n in zip(pad, image.shape, strict=True))]
 
 
-def projected_landweber(a: np.ndarray, kernel: np.ndarray, iterations: int, alpha: float) -> np.ndarray:
-    """estimate = max(estimate + alpha * mirrored kernel * (image - kernel * estimate), 0)."""
+def projected_landweber(a: np.ndarray, kernel: np.ndarray, iterations: int, alpha: float, held: np.ndarray | None = None) -> np.ndarray:
+    """estimate = max(estimate + alpha * mirrored kernel * (image - kernel * estimate), 0). Pages that are
+    not held have no difference to the image and stay 0."""
     pad = [(n // 2, n // 2) for n in kernel.shape]
     image = np.pad(a, pad, mode="edge")
+    there = np.pad(np.ones(len(a), dtype=bool) if held is None else held, pad[0], mode="edge")[:, None, None]
     k = padded_kernel(kernel, image.shape)
     turn = lambda x, t: np.fft.irfftn(np.fft.rfftn(x) * t, image.shape, axes=(0, 1, 2))
     estimate = image.copy()
     for _ in range(iterations):
-        estimate = np.maximum(estimate + alpha * turn(image - turn(estimate, k), k.conj()), 0)
+        estimate = np.maximum(estimate + alpha * turn((image - turn(estimate, k)) * there, k.conj()), 0) * there
     return estimate[tuple(slice(lo, n - hi) for (lo, hi), n in zip(pad, image.shape, strict=True))]
 
 
@@ -58,8 +60,10 @@ def deconvolve(planes: DataFrame, kernel: np.ndarray, iterations: int, subtract:
     return held_volumes(planes, lambda a, held: (richardson_lucy(np.clip(a - c, 0, 1) if c else a, kernel, iterations), held), nz)
 
 
-def landweber(planes: DataFrame, kernel: np.ndarray, iterations: int, alpha: float) -> DataFrame:
-    return whole_volumes(planes, lambda a: projected_landweber(a, kernel, iterations, alpha))
+def landweber(planes: DataFrame, kernel: np.ndarray, iterations: int, alpha: float, nz: int | None = None) -> DataFrame:
+    """Projected Landweber for each volume. With nz, a volume has nz pages: those it lacks count for
+    nothing and are not returned."""
+    return held_volumes(planes, lambda a, held: (projected_landweber(a, kernel, iterations, alpha, held), held), nz)
 
 
 def convolve(planes: DataFrame, kernel: np.ndarray, nz: int | None = None) -> DataFrame:
