@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratavox.types import Grid, voxels
 
-from .geometry import deskew, deskew_geometry, held_volumes, paged, whole_volumes
+from .geometry import deskew, deskew_geometry, held_volumes, paged
 
 #: A smaller denominator gives ratio 0.
 LEAST = 1e-5
@@ -172,17 +172,18 @@ def kernel_skewed(kernel: np.ndarray, angle: float, step: float, xy_res: float,
     return np.where(((x >= -0.5) & (x < nx - 0.5))[:, None, :], pixel(f) * (1 - w) + pixel(f + 1) * w, fill / 65535)
 
 
-def psf_resampled(planes: DataFrame, ratio: float) -> DataFrame:
-    """Fewer pages by cutting the spectrum along z: ratio = new page distance / old one (>= 1)."""
+def psf_resampled(planes: DataFrame, ratio: float, nz: int | None = None) -> DataFrame:
+    """Fewer pages by cutting the spectrum along z: ratio = new page distance / old one (>= 1). With nz, a
+    volume has nz pages: those it lacks count as 0, and all pages of the result are returned."""
 
-    def f(a: np.ndarray) -> np.ndarray:
+    def f(a: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, None]:
         n = int(round(len(a) / ratio))
         spectrum = np.fft.fft(a, axis=0)
         half = n // 2
         kept = np.concatenate([spectrum[: n - half], spectrum[len(a) - half :]])
-        return np.maximum(np.fft.ifft(kept, axis=0).real * n / len(a), 0)
+        return np.maximum(np.fft.ifft(kept, axis=0).real * n / len(a), 0), None
 
-    return whole_volumes(planes, f)
+    return held_volumes(planes, f, nz)
 
 
 def psf_scale(psf_step: float, stage_step: float, angle: float) -> float:
