@@ -45,8 +45,9 @@ def pixel_range(dtype: str) -> tuple[float, float]:
 
 
 def voxels(planes: DataFrame) -> DataFrame:
-    """One row for each pixel."""
-    at = planes.select("image_id", "z", "width", F.posexplode("px").alias("i", "v"))
+    """One row for each pixel; those of a plane without pixels are null."""
+    none = F.array_repeat(F.lit(None).cast("double"), F.col("height") * F.col("width"))
+    at = planes.select("image_id", "z", "width", F.posexplode(F.coalesce("px", none)).alias("i", "v"))
     return at.select("image_id", "z", F.expr("cast(i div width as int)").alias("y"), (F.col("i") % F.col("width")).cast("int").alias("x"), "v")
 
 
